@@ -21,6 +21,8 @@ HOT_ROWS = 2_000_000
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
     """One row per key: the largest by ``newest_first``, ties broken by the rest of the row."""
     others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
     order = F.struct(*[F.col(c) for c in newest_first], *[F.col(c) for c in others if c not in newest_first])
     picked = df.groupBy(*keys).agg(F.max(order).alias("row"))
     return picked.select(*[F.col(c) if c in keys else F.col("row")[c].alias(c) for c in df.columns])
