@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -103,7 +104,8 @@ class Contract:
 
     @property
     def columns(self) -> list[str]:
-        return self.struct.fieldNames()
+        """Names alone, readable without a session."""
+        return re.findall(r"(?:^|, )(\w+) ", self.ddl)
 
     @property
     def required(self) -> list[str]:
@@ -226,3 +228,20 @@ def schema_log_entry(diff: DataFrame, topic: str, version: int, schema_id: int)
         ),
         SCHEMA_LOG,
     )
+
+
+def observed_diff(messages: DataFrame, contract: T.StructType) -> DataFrame:
+    """Top-level fields found in JSON messages against a contract, with how many messages carry each."""
+    found = messages.select(F.explode(F.json_object_keys(F.col("value").cast("string"))).alias("field"))
+    counted = found.groupBy("field").agg(F.count(F.lit(1)).alias("messages"))
+    want = messages.sparkSession.createDataFrame([(f.name,) for f in contract], "field string")
+    want = want.withColumn("expected", F.lit(True))
+    change = (
+        F.when(F.col("messages").isNull(), "missing").when(F.col("expected").isNull(), "added").otherwise("same")
+    )
+    return counted.join(want, "field", "full_outer").select(
+        "field",
+        F.coalesce("messages", F.lit(0)).alias("messages"),
+        change.alias("change"),
+        (change != "missing").alias("is_compatible"),
+    )

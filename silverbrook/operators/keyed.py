@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 # A key with more child rows than this is split. Such keys number at most rows / HOT_ROWS, which bounds
 # the broadcast table of hot keys: half a million entries at 10^12 rows.
 HOT_ROWS = 2_000_000
+# A child read from no more input than this fits one task whole, so no key of it needs splitting.
+UNSPLIT_BYTES = 256 * 1024 * 1024
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
@@ -42,8 +44,18 @@ def with_key_count(
     return df.join(key_counts(df if counted is None else counted, keys, name), list(keys), "left")
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Estimated bytes of the relations a frame reads, from the optimizer's statistics; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def fan_out_left_join(
-    left: DataFrame, children: Sequence[DataFrame], key: str, hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    children: Sequence[DataFrame],
+    key: str,
+    hot_rows: int = HOT_ROWS,
+    split_hot: bool | None = None,
 ) -> DataFrame:
     """``left`` left-joined to each many-row child on ``key``, balanced when one key owns much of a child.
 
@@ -52,8 +64,14 @@ def fan_out_left_join(
     slices. The left row is copied to every cell, a child row to the cells of its own slice, so every
     combination of child rows meets in exactly one cell and all joins share one partitioning by
     ``(key, cell)``. A cell that misses a child its key does have is not a result and is dropped.
-    A key that is not hot has the single cell 0 and pays nothing for this.
+    A key that is not hot has the single cell 0.
+
+    ``split_hot=None`` skips the counting where every child is small enough for one task as a whole.
     """
+    if split_hot is None:
+        split_hot = any(input_bytes(child) > UNSPLIT_BYTES for child in children)
+    if not split_hot:
+        return reduce(lambda frame, child: frame.join(child, key, "left"), children, left)
     counts = [
         key_counts(child.filter(F.col(key).isNotNull()), [key], f"_rows{i}") for i, child in enumerate(children)
     ]

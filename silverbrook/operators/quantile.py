@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,22 +20,34 @@ MONEY_SCALE = 100
 
 
 def exact_quantile(df: DataFrame, value: str, q: float, scale: int = MONEY_SCALE) -> float | None:
-    """The ``q`` quantile of ``value``, read as a whole number of ``1/scale`` units; null if there is none."""
-    keys = df.select(F.rint(F.col(value) * scale).cast("long").alias("key")).filter(F.col("key").isNotNull())
-    n = keys.count()
-    if n == 0:
-        return None
-    rank = q * (n - 1)
-    below, above = math.floor(rank), math.ceil(rank)
-    low = order_statistic(keys, below)
-    high = low if above == below else order_statistic(keys, above)
-    return (low + (high - low) * (rank - below)) / scale
-
-
-def order_statistic(keys: DataFrame, rank: int) -> int:
-    """The value at a 0-based rank of a long column ``key`` without sorting it."""
+    """The ``q`` quantile of ``value``, read as a whole number of ``1/scale`` units; null if there is none.
+
+    The input is read once: rounds run over its kept value counts.
+    """
+    counted = value_counts(df.select(F.rint(F.col(value) * scale).cast("long").alias("key")))
+    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = counted.agg(F.sum("n")).first()[0]
+        if n is None:
+            return None
+        rank = q * (n - 1)
+        below, above = math.floor(rank), math.ceil(rank)
+        low = order_statistic(counted, below)
+        high = low if above == below else order_statistic(counted, above)
+        return (low + (high - low) * (rank - below)) / scale
+    finally:
+        counted.unpersist()
+
+
+def value_counts(keys: DataFrame) -> DataFrame:
+    """Occurrences per non-null ``key``."""
+    return keys.filter(F.col("key").isNotNull()).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def order_statistic(counted: DataFrame, rank: int) -> int:
+    """The value at a 0-based rank of the long ``key`` with occurrences ``n``, without sorting."""
     # Flipping the sign bit makes unsigned digit order equal signed value order.
-    flipped = keys.select(F.col("key").bitwiseXOR(F.lit(-(1 << 63)).cast("long")).alias("key"))
+    flipped = counted.select(F.col("key").bitwiseXOR(F.lit(-(1 << 63)).cast("long")).alias("key"), "n")
     found = 0
     for level in range(ROUNDS):
         shift = 64 - DIGIT_BITS * (level + 1)
@@ -53,7 +66,7 @@ def _matching(keys: DataFrame, prefix: int, level: int) -> DataFrame:
 def _digit_at(keys: DataFrame, shift: int, rank: int) -> tuple[int, int]:
     """The digit whose group holds the rank, and how many keys lie in smaller groups."""
     digit: Column = F.shiftrightunsigned("key", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1).cast("long"))
-    counts = keys.groupBy(digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+    counts = keys.groupBy(digit.alias("digit")).agg(F.sum("n").alias("n"))
     upto = F.sum("n").over(Window.orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
     hit = counts.withColumn("upto", upto).filter(F.col("upto") > rank).orderBy("digit").first()
     return hit["digit"], hit["upto"] - hit["n"]

@@ -30,7 +30,9 @@ def cosine(a: Column, b: Column) -> Column:
 def nearest(vectors: DataFrame, query: Sequence[float] | Column, k: int = 5, *, key: str, vector: str) -> DataFrame:
     """The ``k`` rows most similar to one query vector; ties go to the smaller key."""
     probe = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
-    scored = vectors.select("*", F.round(cosine(F.col(vector), probe), 6).alias("similarity"))
+    # A question that is a subquery has to be a column of its own before array functions may use it.
+    asked = vectors.withColumn("_probe", probe)
+    scored = asked.withColumn("similarity", F.round(cosine(F.col(vector), F.col("_probe")), 6)).drop("_probe")
     return scored.orderBy(F.col("similarity").desc(), F.col(key).asc()).limit(k)
 
 

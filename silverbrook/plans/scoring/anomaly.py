@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ...contracts import FRAUD_SCORES
 from ...functions import rules
 from ...operators.series import min_max_risk
+from ...session import use_checkpoints
 from .features import CATEGORIES, FRAUD_FEATURES, assemble, fit_codes
 
 # The published model's parameters.
@@ -156,8 +157,11 @@ def detect(
     serving: DataFrame, keys: Sequence[str] = ("booking_id", "car_id", "payment_id"), *, trees: int = TREES
 ) -> DataFrame:
     """The fraud score table of a serving frame."""
+    use_checkpoints(serving.sparkSession)
     codes = fit_codes(serving, CATEGORIES)
     featured = assemble(serving, FRAUD_FEATURES, codes, CATEGORIES)
-    scored = label_scores(score_rows(featured, fit_forest(featured, list(keys), trees)))
+    # Scores are read three times (cut, bounds, result); they are worked out once.
+    scored = score_rows(featured, fit_forest(featured, list(keys), trees)).drop("features").checkpoint()
+    scored = label_scores(scored)
     scored = scored.withColumns({"model_name": F.lit(MODEL_NAME), "pickup_hour": rules.or_zero(F.col("pickup_hour"))})
     return scored.select(*[c for c in FRAUD_SCORES.columns if c in scored.columns])

@@ -120,9 +120,9 @@ def score(model: GBTClassificationModel, featured: DataFrame) -> DataFrame:
 
 
 def roll_up(scored: DataFrame, model_auc: float | None = None) -> DataFrame:
-    """A row per customer with the highest probability and that row's attributes.
+    """A row per customer with the highest probability over the customer's rows.
 
-    Ties between a customer's rows go to the smallest attributes, so reruns agree.
+    Attributes are constant within a customer after silver; the smallest is taken should they differ.
     """
     attributes = ["customer_name", "loyalty_tier", "points_tier", "is_high_value_customer"]
     grouped = scored.groupBy("customer_id").agg(
@@ -139,11 +139,17 @@ def roll_up(scored: DataFrame, model_auc: float | None = None) -> DataFrame:
     )
 
 
+def training_frame(serving: DataFrame, as_of: Column) -> DataFrame:
+    """Labelled rows with features, written once to the checkpoint folder: every later step reads them."""
+    use_checkpoints(serving.sparkSession)
+    labelled = both_classes(label_churn(serving, as_of).checkpoint())
+    codes = fit_codes(labelled, CHURN_CATEGORIES)
+    return assemble(labelled, CHURN_FEATURES, codes, CHURN_CATEGORIES)
+
+
 def predict_churn(serving: DataFrame, as_of: Column, *, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
     """The churn score table of a serving frame: label, split, fit, score all rows, roll up."""
-    labelled = both_classes(label_churn(serving, as_of))
-    codes = fit_codes(labelled, CHURN_CATEGORIES)
-    featured = assemble(labelled, CHURN_FEATURES, codes, CHURN_CATEGORIES)
+    featured = training_frame(serving, as_of)
     train, test = split(featured)
     model = fit(train, trees=trees, depth=depth)
     result = roll_up(score(model, featured), auc(model, test))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...contracts import DEMAND_FORECAST, enforce
+from ...session import use_checkpoints
 
 YEARLY_ORDER, WEEKLY_ORDER = 10, 3
 YEAR, WEEK = 365.25, 7.0
@@ -79,6 +80,8 @@ def predict(model, days: DataFrame, mape: float | None = None) -> DataFrame:
 
 def forecast(daily: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """M02 with the error of M03 attached where the series is long enough."""
+    use_checkpoints(daily.sparkSession)
+    daily = daily.checkpoint()
     errors = backtest(daily).agg(F.round(F.avg("mape"), 2).alias("mape")).first()
     return predict(fit(daily), future(daily, horizon), errors["mape"])
 

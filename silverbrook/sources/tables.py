@@ -25,7 +25,8 @@ def delta_available(spark: SparkSession) -> bool:
         return False
 
 
-def _balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows gathered by column values, where adaptive execution may cut a large value into several tasks."""
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
@@ -49,7 +50,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mod
     Rows of a partition value are brought together first; the rebalance lets adaptive execution cut a
     value that holds much of the data into several tasks and files.
     """
-    _balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    balanced(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -59,7 +60,7 @@ def append_rows(df: DataFrame, path: str) -> None:
 def replace_slice(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace only the partition values present in ``df``."""
     (
-        _balanced(df, [partition_col])
+        balanced(df, [partition_col])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -116,7 +117,7 @@ def publish(
     """Write ``df`` as a new version and make it current; older versions stay for their readers."""
     version = f"v-{uuid.uuid4().hex}"
     target = f"{path}/{version}"
-    writer = _balanced(df, partition_by) if partition_by else df
+    writer = balanced(df, partition_by) if partition_by else df
     writer = writer.write.mode("errorifexists").format(fmt)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
     _flip(spark, path, version)

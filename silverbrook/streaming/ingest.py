@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import Settings
 from ..sources import events as ev
-from ..sources.tables import upsert
+from ..sources.tables import balanced, upsert
 
 # Table name -> how it is cut from decoded events, and its partition columns.
 BRONZE: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
@@ -25,8 +25,13 @@ BRONZE: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Append a stream to a table with its own checkpoint, up to what is available now."""
-    writer = df.writeStream.format("parquet").outputMode("append").option("path", path)
+    """Append a stream to a table with its own checkpoint, up to what is available now.
+
+    Rows of a partition value are brought together before the write, so that a batch adds few files to it
+    instead of one per task.
+    """
+    frame = balanced(df, partition_by) if partition_by else df
+    writer = frame.writeStream.format("parquet").outputMode("append").option("path", path)
     writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
