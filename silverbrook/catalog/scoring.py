@@ -115,19 +115,34 @@ register(
 )
 
 
+_MODELS: dict[tuple[str, str], tuple] = {}
+
+
 def _trained(f: Frames):
-    """Label, encode, split and fit once; the pieces of M10 and M11."""
+    """The classifier, the rows it scores and the hold-out; fitted once per session and data set."""
+    key = (f.spark.sparkContext.applicationId, f.sf_dir)
+    if key not in _MODELS:
+        _MODELS[key] = _train(f)
+    return _MODELS[key]
+
+
+def _train(f: Frames):
     featured = churn.training_frame(f.serving, F.lit(AS_OF).cast("date"))
     train, test = churn.split(featured)
-    return churn.fit(train), test
+    return churn.fit(train), featured, test
 
 
 def _auc(f: Frames):
-    model, test = _trained(f)
+    model, _, test = _trained(f)
     return test.agg(F.count(F.lit(1)).alias("tested")).withColumn("auc", F.round(F.lit(churn.auc(model, test)), 4))
 
 
-register("m10_churn_scores", lambda f: churn.predict_churn(f.serving, F.lit(AS_OF).cast("date")))
+def _scores(f: Frames):
+    model, featured, test = _trained(f)
+    return churn.roll_up(churn.score(model, featured), churn.auc(model, test))
+
+
+register("m10_churn_scores", _scores)
 register("m11_hold_out_auc", _auc)
 register(
     "m12_customer_roll_up",

@@ -96,13 +96,14 @@ def loyalty(df: DataFrame, *, filters: Filters = None) -> DataFrame:
 
 def top_routes(df: DataFrame, *, limit: int = 10, filters: Filters = None) -> DataFrame:
     """Busiest routes, 1 to 50 of them."""
+    limit = bounded(limit, 1, 50)
     measures = {
         "bookings": rows(),
         "avg_payment": money_avg("payment_amount", 0),
         "trip_types": F.count_distinct("trip_type"),
     }
     grouped = summarise(df, ["route"], measures, filters)
-    return top(grouped, bounded(limit, 1, 50), [F.col("bookings").desc()], ["route"])
+    return top(grouped, limit, [F.col("bookings").desc()], ["route"])
 
 
 def top_models(df: DataFrame, *, limit: int = 7, filters: Filters = None) -> DataFrame:

@@ -95,6 +95,9 @@ def build_session(settings: Settings | None = None, master: str | None = None) -
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings the results depend on, for sessions built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -112,9 +115,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="silverbrook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="silverbrook-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
