@@ -34,10 +34,10 @@ def _result_sql(r: q.Rule) -> str:
         return f"""{head}, count(*) BETWEEN {low} AND {high} AS success, CAST(count(*) AS VARCHAR) AS observed_value,
                    0 AS element_count, 0 AS missing_count, 0 AS unexpected_count FROM f_serving"""
     if r.type == q.EXISTS:
-        return f"""{head}, TRUE AS success, NULL AS observed_value, 0 AS element_count, 0 AS missing_count,
+        return f"""{head}, TRUE AS success, CAST(NULL AS VARCHAR) AS observed_value, 0 AS element_count, 0 AS missing_count,
                    0 AS unexpected_count"""
     missing = "0" if r.type == q.NOT_NULL else f"count(*) FILTER ({r.column} IS NULL)"
-    return f"""{head}, count(*) FILTER ({_broken(r)}) = 0 AS success, NULL AS observed_value, count(*) AS element_count,
+    return f"""{head}, count(*) FILTER ({_broken(r)}) = 0 AS success, CAST(NULL AS VARCHAR) AS observed_value, count(*) AS element_count,
                {missing} AS missing_count, count(*) FILTER ({_broken(r)}) AS unexpected_count FROM f_serving"""
 
 

@@ -41,7 +41,43 @@ def with_key_count(
 
     ``counted`` is the frame whose rows are counted, if it is not ``df`` itself.
     """
-    return df.join(key_counts(df if counted is None else counted, keys, name), list(keys), "left")
+    return lookup_left_join(df, key_counts(df if counted is None else counted, keys, name), keys)
+
+
+def lookup_left_join(
+    df: DataFrame,
+    unique: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    split_hot: bool | None = None,
+) -> DataFrame:
+    """Left join to a table with one row per key, balanced when one key owns much of ``df``.
+
+    Adaptive execution does not split a join whose lookup side comes straight out of an aggregate, which
+    is the usual case here. Rows of a hot key are therefore spread over slices and its single lookup row
+    is copied to each of them; each row still meets exactly one lookup row.
+    """
+    keys = list(keys)
+    if split_hot is None:
+        split_hot = input_bytes(df) > UNSPLIT_BYTES
+    if not split_hot:
+        return df.join(unique, keys, "left")
+    counts = key_counts(df.dropna(subset=keys), keys, "_rows").filter(F.col("_rows") > hot_rows)
+    # At most (rows / hot_rows) entries.
+    hot = F.broadcast(counts.select(*keys, _slices(F.col("_rows"), hot_rows).alias("_slices")))
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    spread = df.withColumn("_spread", _spread(df)).join(hot, keys, "left")
+    spread = spread.withColumn("_slice", (F.col("_spread") % slices).cast("int")).select(*df.columns, "_slice")
+    copies = unique.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    return spread.join(copies.drop("_slices"), [*keys, "_slice"], "left").drop("_slice")
+
+
+def _spread(df: DataFrame) -> Column:
+    """A number to slice rows by: the content hash spreads distinct rows, the partition id identical copies.
+
+    A task that is run again computes the same values.
+    """
+    return F.abs(F.xxhash64(*df.columns) % (1 << 30)) + F.spark_partition_id()
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -112,13 +148,10 @@ def _hot_slices(counts: Sequence[DataFrame], key: str, hot_rows: int) -> DataFra
 
 def _to_cells(child: DataFrame, index: int, n_children: int, hot: DataFrame, key: str) -> DataFrame:
     """Child rows with the cells they belong to: own slice fixed, every slice of the other children."""
-    # The content hash spreads distinct rows, the partition id identical copies; a task that is run
-    # again computes the same values.
-    spread = F.abs(F.xxhash64(*child.columns) % (1 << 30)) + F.spark_partition_id()
     slices = [F.coalesce(F.col(f"_slices{i}"), F.lit(1)) for i in range(n_children)]
     own = (F.col("_spread") % slices[index]).cast("int")
     cell, step = F.lit(0), F.lit(1)
-    frame = child.withColumn("_spread", spread).join(F.broadcast(hot), key, "left")
+    frame = child.withColumn("_spread", _spread(child)).join(F.broadcast(hot), key, "left")
     for i in range(n_children):
         if i == index:
             place = own
@@ -131,8 +164,8 @@ def _to_cells(child: DataFrame, index: int, n_children: int, hot: DataFrame, key
 
 def duplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows whose key occurs more than once."""
-    repeated = key_counts(df, keys).filter(F.col("n_rows") > 1).select(*keys)
-    return df.join(repeated, list(keys), "left_semi")
+    repeated = key_counts(df, keys).filter(F.col("n_rows") > 1).select(*keys, F.lit(True).alias("_repeated"))
+    return lookup_left_join(df, repeated, keys).filter("_repeated").drop("_repeated")
 
 
 def not_in(value: Column, members: Sequence[object]) -> Column:
@@ -144,7 +177,7 @@ def days_since_last(df: DataFrame, key: str, day: str, as_of: Column, missing: i
     """Days from each key's latest date to ``as_of``, attached to every row."""
     latest = df.groupBy(key).agg(F.max(day).alias("last_booking_date"))
     gap = F.coalesce(F.date_diff(as_of, F.col("last_booking_date")), F.lit(missing))
-    return df.join(latest, key, "left").withColumn("days_since_last_booking", gap)
+    return lookup_left_join(df, latest, [key]).withColumn("days_since_last_booking", gap)
 
 
 def latest_run_rows(records: DataFrame, runs: DataFrame, run_id: str, created_at: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import SERVING
-from ..operators.keyed import HOT_ROWS, fan_out_left_join
+from ..operators.keyed import HOT_ROWS, fan_out_left_join, lookup_left_join
 
 # Dropped before the join where present; names a table does not have are ignored.
 AUDIT_COLUMNS = ("transformed_at",)
@@ -41,7 +41,9 @@ def curate(
             "payment_count",
             (F.col("payment_count") > 1).alias("is_split_payment"),
         )
-    people = booking.drop(*BOOKING_DROPS).join(customer.drop(*AUDIT_COLUMNS), "customer_id", "left")
+    people = lookup_left_join(
+        booking.drop(*BOOKING_DROPS), customer.drop(*AUDIT_COLUMNS), ["customer_id"], hot_rows, split_hot
+    )
     wide = fan_out_left_join(people, [cars.drop(*AUDIT_COLUMNS), payments], "booking_id", hot_rows, split_hot)
     return wide.withColumn("merged_at", F.current_timestamp()) if audit else wide
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..contracts import FAILED_RECORD_COLUMNS
 from ..functions import rules as shapes
 from ..functions.measures import rows
-from ..operators.keyed import key_counts, not_in
+from ..operators.keyed import key_counts, lookup_left_join, not_in
 
 log = logging.getLogger(__name__)
 
@@ -236,7 +236,7 @@ def _with_marks(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     """Mark rows whose checked value repeats; repeated values are counted before they meet the rows."""
     for column in sorted({c.column for c in checks if c.type == UNIQUE}):
         repeated = key_counts(df.filter(F.col(column).isNotNull()), [column]).filter(F.col("n_rows") > 1)
-        df = df.join(repeated.select(column, F.lit(True).alias(_mark(column))), column, "left")
+        df = lookup_left_join(df, repeated.select(column, F.lit(True).alias(_mark(column))), [column])
     return df
 
 

@@ -36,9 +36,12 @@ def row_hash(keys: Sequence[str], seed: int) -> Column:
 
 
 def sample_pool(df: DataFrame, keys: Sequence[str], pool_rows: int = POOL_ROWS, seed: int = SEED) -> DataFrame:
-    """About ``pool_rows`` rows by key hash; the whole frame if it is smaller."""
+    """About ``pool_rows`` keys by hash, one row each; all keys if there are fewer.
+
+    Copies of a row share its hash, so they are combined (map-side first) before trees draw from the pool.
+    """
     share = F.lit(float(pool_rows)) / F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))
-    return df.filter(row_hash(keys, seed) < share)
+    return df.filter(row_hash(keys, seed) < share).groupBy(*keys).agg(F.max("x").alias("x"))
 
 
 def tree_samples(pool: DataFrame, keys: Sequence[str], trees: int, rows: int, seed: int = SEED) -> DataFrame:
@@ -52,8 +55,10 @@ def fit_forest(
     df: DataFrame, keys: Sequence[str], trees: int = TREES, rows: int = SAMPLE_ROWS, seed: int = SEED
 ) -> DataFrame:
     """Grow the forest: one row per tree node (``NODE_DDL``). ``df`` has a ``features`` vector."""
+    use_checkpoints(df.sparkSession)
     narrow = df.select(*keys, vector_to_array("features").alias("x"))
-    samples = tree_samples(sample_pool(narrow, keys, 4 * trees * rows, seed), keys, trees, rows, seed)
+    pool = sample_pool(narrow, keys, 4 * trees * rows, seed).checkpoint()
+    samples = tree_samples(pool, keys, trees, rows, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])

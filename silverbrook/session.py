@@ -75,22 +75,23 @@ class Settings:
         return f"{self.lake_root.rstrip('/')}/_checkpoints/{name}"
 
 
+RUNTIME = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Consecutive joins on one key would otherwise veto the skew split of the first.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(settings: Settings | None = None, master: str | None = None) -> SparkSession:
     """A session with adaptive execution on; cluster sizing stays with the submitter."""
     settings = settings or Settings()
     builder = SparkSession.builder.appName(settings.app_name)
     if master:
         builder = builder.master(master)
-    defaults = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Consecutive joins on one key would otherwise veto the skew split of the first.
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        "spark.sql.execution.arrow.pyspark.enabled": "true",
-    }
-    for key, value in {**defaults, **settings.spark}.items():
+    for key, value in {**RUNTIME, **settings.spark}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -99,8 +100,9 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings the results depend on, for sessions built elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Runtime settings results and balance depend on, for sessions built elsewhere."""
+    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, RUNTIME[key])
     return spark
 
 

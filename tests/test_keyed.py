@@ -53,6 +53,17 @@ def test_split_join_equals_plain_join(spark, hot_rows):
     assert Counter(values(plain, "k", "name", "c", "p")) == _plain_join(left, cars, pays)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 4, 1000])
+def test_split_lookup_equals_plain_lookup(spark, hot_rows):
+    rows = [("hot", 1)] * 30 + [("hot", i) for i in range(10)] + [("a", 1), ("b", 2), (None, 3)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(4)
+    unique = spark.createDataFrame([("hot", "h"), ("a", "x"), ("z", "y")], "k string, v string")
+    got = keyed.lookup_left_join(df, unique, ["k"], hot_rows=hot_rows, split_hot=True)
+    want = keyed.lookup_left_join(df, unique, ["k"], split_hot=False)
+    assert got.columns == want.columns == ["k", "n", "v"]
+    assert Counter(values(got, "k", "n", "v")) == Counter(values(want, "k", "n", "v"))
+
+
 def test_hot_key_is_spread_over_cells(spark):
     child = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("c"))
     counts = [keyed.key_counts(child, ["k"], "_rows0")]
