@@ -81,6 +81,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Consecutive joins on one key would otherwise veto the skew split of the first.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Joins whose partitions turn out small need no sort.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -101,7 +103,7 @@ _LOCAL_DIRS: dict[str, str] = {}
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Runtime settings results and balance depend on, for sessions built elsewhere."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+    for key in RUNTIME:
         spark.conf.set(key, RUNTIME[key])
     return spark
 
