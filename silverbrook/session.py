@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
@@ -101,8 +103,26 @@ def build_session(settings: Settings | None = None, master: str | None = None) -
 _LOCAL_DIRS: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application, so that functions find it on any executor."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="silverbrook-package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings results and balance depend on, for sessions built elsewhere."""
+    """Runtime settings results and balance depend on, and the package itself, for sessions built elsewhere."""
+    ship_package(spark)
     for key in RUNTIME:
         spark.conf.set(key, RUNTIME[key])
     return spark
@@ -111,13 +131,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    A temporary folder stands in only for a local master, where driver and executors are one process.
+    A temporary folder stands in only where none is set and driver and executors are one process.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.applicationId not in _LOCAL_DIRS:
         _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="silverbrook-")
