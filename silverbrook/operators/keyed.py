@@ -13,11 +13,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more child rows than this is split. Such keys number at most rows / HOT_ROWS, which bounds
-# the broadcast table of hot keys: half a million entries at 10^12 rows.
+# A task of a split join makes about so many rows, so a key is cut once its rows, or the product of its rows on all
+# sides, are more.
 HOT_ROWS = 2_000_000
-# A child read from no more input than this fits one task whole, so no key of it needs splitting.
-UNSPLIT_BYTES = 256 * 1024 * 1024
+# A table of hot keys is broadcast up to so many entries, counted first; beyond that it is joined like any other.
+HOT_KEYS = 500_000
+# Rows without a key meet nothing and are spread over so many places.
+NULL_PLACES = 4096
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
@@ -49,27 +51,43 @@ def lookup_left_join(
     unique: DataFrame,
     keys: Sequence[str],
     hot_rows: int = HOT_ROWS,
-    split_hot: bool | None = None,
 ) -> DataFrame:
     """Left join to a table with one row per key, balanced when one key owns much of ``df``.
 
     Adaptive execution does not split a join whose lookup side comes straight out of an aggregate, which
     is the usual case here. Rows of a hot key are therefore spread over slices and its single lookup row
-    is copied to each of them; each row still meets exactly one lookup row.
+    is copied to each of them; each row still meets exactly one lookup row. Rows without a whole key are
+    spread over places where no lookup row is. Keys are counted first, with map-side combination; where none
+    is hot, every key has the one slice 0.
     """
     keys = list(keys)
-    if split_hot is None:
-        split_hot = input_bytes(df) > UNSPLIT_BYTES
-    if not split_hot:
-        return df.join(unique, keys, "left")
     counts = key_counts(df.dropna(subset=keys), keys, "_rows").filter(F.col("_rows") > hot_rows)
-    # At most (rows / hot_rows) entries.
-    hot = F.broadcast(counts.select(*keys, _slices(F.col("_rows"), hot_rows).alias("_slices")))
-    slices = F.coalesce(F.col("_slices"), F.lit(1))
-    spread = df.withColumn("_spread", _spread(df)).join(hot, keys, "left")
-    spread = spread.withColumn("_slice", (F.col("_spread") % slices).cast("int")).select(*df.columns, "_slice")
-    copies = unique.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-    return spread.join(copies.drop("_slices"), [*keys, "_slice"], "left").drop("_slice")
+    hot = _checked(counts.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")))
+    spread = df.withColumn("_spread", _spread(df))
+    copies = unique
+    if hot is None:
+        own = F.lit(0)
+        copies = copies.withColumn("_slice", F.lit(0))
+    else:
+        slices = F.coalesce(F.col("_slices"), F.lit(1))
+        spread = spread.join(hot, keys, "left")
+        own = (F.col("_spread") % slices).cast("int")
+        copies = copies.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        copies = copies.drop("_slices")
+    spread = spread.withColumn("_slice", _placed(own, keys)).select(*df.columns, "_slice")
+    return spread.join(copies, [*keys, "_slice"], "left").drop("_slice")
+
+
+def _placed(own: Column, keys: Sequence[str]) -> Column:
+    """The slice of a row, or for one without a whole key a place below zero, where nothing is looked up."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return F.when(known, own).otherwise((-1 - F.col("_spread") % NULL_PLACES).cast("int"))
+
+
+def _checked(hot: DataFrame) -> DataFrame | None:
+    """None where no key is hot; else the table of hot keys, broadcast if counted and small."""
+    n = hot.limit(HOT_KEYS + 1).count()
+    return None if n == 0 else F.broadcast(hot) if n <= HOT_KEYS else hot
 
 
 def _spread(df: DataFrame) -> Column:
@@ -80,86 +98,76 @@ def _spread(df: DataFrame) -> Column:
     return F.abs(F.xxhash64(*df.columns) % (1 << 30)) + F.spark_partition_id()
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Estimated bytes of the relations a frame reads, from the optimizer's statistics; runs no job."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
 def fan_out_left_join(
     left: DataFrame,
     children: Sequence[DataFrame],
     key: str,
     hot_rows: int = HOT_ROWS,
-    split_hot: bool | None = None,
 ) -> DataFrame:
-    """``left`` left-joined to each many-row child on ``key``, balanced when one key owns much of a child.
-
-    Adaptive execution splits only the preserved side of an outer join, so a hot *child* key is cut here.
-    Each child of a hot key falls into ``ceil(rows / hot_rows)`` slices; a cell is one combination of
-    slices. The left row is copied to every cell, a child row to the cells of its own slice, so every
-    combination of child rows meets in exactly one cell and all joins share one partitioning by
-    ``(key, cell)``. A cell that misses a child its key does have is not a result and is dropped.
-    A key that is not hot has the single cell 0.
-
-    ``split_hot=None`` skips the counting where every child is small enough for one task as a whole.
+    """``left`` left-joined to each many-row child on ``key``, balanced by the rows a key makes.
+
+    A key's result is the product of its rows on every side, the left one included, so the product decides: keys
+    beyond ``hot_rows`` are cut. Each side of such a key falls into slices, and a cell is one combination of
+    slices. A row goes to all cells of its own slice, so every combination of rows meets in exactly one cell, a
+    cell makes about ``hot_rows`` rows, and all joins share one partitioning by ``(key, cell)``. A cell that
+    misses a child its key does have is not a result and is dropped. Rows without a key are spread likewise. Keys
+    are counted in one aggregate over all sides; where none is hot, all have the single cell 0.
     """
-    if split_hot is None:
-        split_hot = any(input_bytes(child) > UNSPLIT_BYTES for child in children)
-    if not split_hot:
-        return reduce(lambda frame, child: frame.join(child, key, "left"), children, left)
-    counts = [
-        key_counts(child.filter(F.col(key).isNotNull()), [key], f"_rows{i}") for i, child in enumerate(children)
-    ]
-    hot = _hot_slices(counts, key, hot_rows)
-
-    cells = reduce(lambda a, b: a * b, [_slices(F.col(f"_rows{i}"), hot_rows) for i in range(len(children))])
-    joined = reduce(lambda frame, c: frame.join(c, key, "left"), counts, left)
-    joined = joined.withColumn("_cell", F.explode(F.sequence(F.lit(0), cells - 1)))
-
-    for i, child in enumerate(children):
-        joined = joined.join(_to_cells(child, i, len(children), hot, key), [key, "_cell"], "left")
-    keep = reduce(
-        lambda a, b: a & b,
-        [F.col(f"_rows{i}").isNull() | F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(len(children))],
-    )
+    sides = [left, *children]
+    hot = _checked(_hot_slices(sides, key, hot_rows))
+    joined = _to_cells(left, 0, len(sides), hot, key)
+    for i, child in enumerate(children, 1):
+        joined = joined.join(_to_cells(child.filter(F.col(key).isNotNull()), i, len(sides), hot, key), [key, "_cell"], "left")
+    if hot is not None:
+        has = [F.coalesce(F.col(f"_has{i}"), F.lit(False)) for i in range(1, len(sides))]
+        hits = [F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(1, len(sides))]
+        joined = joined.filter(reduce(lambda a, b: a & b, [~has_ | hit for has_, hit in zip(has, hits, strict=True)]))
     wanted = left.columns + [c for child in children for c in child.columns if c != key]
-    return joined.filter(keep).select(*wanted)
+    return joined.select(*wanted)
 
 
-def _slices(rows: Column, hot_rows: int) -> Column:
-    return F.coalesce(F.ceil(rows / hot_rows).cast("int"), F.lit(1))
-
-
-def _hot_slices(counts: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
-    """Slices per child for the hot keys only: at most (all child rows / hot_rows) entries, so broadcast."""
-    marked = [
-        c.filter(F.col(f"_rows{i}") > hot_rows).select(
-            key, F.lit(i).alias("_child"), _slices(F.col(f"_rows{i}"), hot_rows).alias("_n")
-        )
-        for i, c in enumerate(counts)
-    ]
-    per_child = [
-        F.coalesce(F.max(F.when(F.col("_child") == i, F.col("_n"))), F.lit(1)).alias(f"_slices{i}")
-        for i in range(len(counts))
-    ]
-    return reduce(DataFrame.unionByName, marked).groupBy(key).agg(*per_child)
+def _hot_slices(sides: Sequence[DataFrame], key: str, hot_rows: int) -> DataFrame:
+    """For keys whose product of rows is beyond ``hot_rows``: slices per side, and which sides have the key."""
+    tagged = reduce(
+        DataFrame.unionByName,
+        [s.filter(F.col(key).isNotNull()).select(F.col(key), F.lit(i).alias("_side")) for i, s in enumerate(sides)],
+    )
+    n = len(sides)
+    rows = [F.col(f"_rows{i}") for i in range(n)]
+    counts = tagged.groupBy(key).agg(*[F.count_if(F.col("_side") == i).alias(f"_rows{i}") for i in range(n)])
+    made = [F.greatest(r, F.lit(1)).cast("double") for r in rows]
+    product = reduce(lambda a, b: a * b, made)
+    # Sides with no more than this share of a cell need no cut; if only one has more, it takes the whole cut.
+    share = float(max(1.0, hot_rows ** (1 / n)))
+    slices = []
+    for i in range(n):
+        others = [m for j, m in enumerate(made) if j != i]
+        alone = reduce(lambda a, b: a & b, [m <= share for m in others], F.lit(True))
+        cut = F.when(alone, F.ceil(product / hot_rows)).otherwise(F.ceil(made[i] / share))
+        slices.append(F.when(made[i] <= share, 1).otherwise(F.least(cut, rows[i])).cast("int").alias(f"_slices{i}"))
+    return counts.filter((product > hot_rows) & (rows[0] > 0)).select(
+        key, *slices, *[(r > 0).alias(f"_has{i}") for i, r in enumerate(rows)]
+    )
 
 
-def _to_cells(child: DataFrame, index: int, n_children: int, hot: DataFrame, key: str) -> DataFrame:
-    """Child rows with the cells they belong to: own slice fixed, every slice of the other children."""
-    slices = [F.coalesce(F.col(f"_slices{i}"), F.lit(1)) for i in range(n_children)]
-    own = (F.col("_spread") % slices[index]).cast("int")
+def _to_cells(side: DataFrame, index: int, n: int, hot: DataFrame | None, key: str) -> DataFrame:
+    """Rows of a side with the cells they belong to: own slice fixed, every slice of the other sides."""
+    frame = side.withColumn("_spread", _spread(side))
+    marks = [F.lit(True).alias(f"_hit{index}")] if index else []
+    if hot is None:
+        return frame.select(*side.columns, _placed(F.lit(0), [key]).alias("_cell"), *marks)
+    slices = [F.coalesce(F.col(f"_slices{i}"), F.lit(1)) for i in range(n)]
     cell, step = F.lit(0), F.lit(1)
-    frame = child.withColumn("_spread", _spread(child)).join(F.broadcast(hot), key, "left")
-    for i in range(n_children):
+    frame = frame.join(hot, key, "left")
+    for i in range(n):
         if i == index:
-            place = own
+            place = (F.col("_spread") % slices[index]).cast("int")
         else:
             frame = frame.withColumn(f"_at{i}", F.explode(F.sequence(F.lit(0), slices[i] - 1)))
             place = F.col(f"_at{i}")
         cell, step = cell + place * step, step * slices[i]
-    return frame.select(*child.columns, cell.cast("int").alias("_cell"), F.lit(True).alias(f"_hit{index}"))
+    has = [F.col(f"_has{i}") for i in range(1, n)] if index == 0 else []
+    return frame.select(*side.columns, _placed(cell.cast("int"), [key]).alias("_cell"), *has, *marks)
 
 
 def duplicated(df: DataFrame, keys: Sequence[str]) -> DataFrame:

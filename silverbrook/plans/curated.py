@@ -22,7 +22,6 @@ def curate(
     booking_grain: bool = False,
     audit: bool = False,
     hot_rows: int = HOT_ROWS,
-    split_hot: bool | None = None,
 ) -> DataFrame:
     """Bookings left-joined to customer, cars and payments: a row per booking x car x payment.
 
@@ -42,9 +41,9 @@ def curate(
             (F.col("payment_count") > 1).alias("is_split_payment"),
         )
     people = lookup_left_join(
-        booking.drop(*BOOKING_DROPS), customer.drop(*AUDIT_COLUMNS), ["customer_id"], hot_rows, split_hot
+        booking.drop(*BOOKING_DROPS), customer.drop(*AUDIT_COLUMNS), ["customer_id"], hot_rows
     )
-    wide = fan_out_left_join(people, [cars.drop(*AUDIT_COLUMNS), payments], "booking_id", hot_rows, split_hot)
+    wide = fan_out_left_join(people, [cars.drop(*AUDIT_COLUMNS), payments], "booking_id", hot_rows)
     return wide.withColumn("merged_at", F.current_timestamp()) if audit else wide
 
 

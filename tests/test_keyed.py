@@ -46,10 +46,10 @@ def test_split_join_equals_plain_join(spark, hot_rows):
         spark.createDataFrame(cars, "k string, c int").repartition(3),
         spark.createDataFrame(pays, "k string, p int").repartition(2),
     ]
-    got = keyed.fan_out_left_join(frames[0], frames[1:], "k", hot_rows=hot_rows, split_hot=True)
+    got = keyed.fan_out_left_join(frames[0], frames[1:], "k", hot_rows=hot_rows)
     assert got.columns == ["k", "name", "c", "p"]
     assert Counter(values(got, "k", "name", "c", "p")) == _plain_join(left, cars, pays)
-    plain = keyed.fan_out_left_join(frames[0], frames[1:], "k", split_hot=False)
+    plain = keyed.fan_out_left_join(frames[0], frames[1:], "k")
     assert Counter(values(plain, "k", "name", "c", "p")) == _plain_join(left, cars, pays)
 
 
@@ -58,26 +58,48 @@ def test_split_lookup_equals_plain_lookup(spark, hot_rows):
     rows = [("hot", 1)] * 30 + [("hot", i) for i in range(10)] + [("a", 1), ("b", 2), (None, 3)]
     df = spark.createDataFrame(rows, "k string, n int").repartition(4)
     unique = spark.createDataFrame([("hot", "h"), ("a", "x"), ("z", "y")], "k string, v string")
-    got = keyed.lookup_left_join(df, unique, ["k"], hot_rows=hot_rows, split_hot=True)
-    want = keyed.lookup_left_join(df, unique, ["k"], split_hot=False)
+    got = keyed.lookup_left_join(df, unique, ["k"], hot_rows=hot_rows)
+    want = keyed.lookup_left_join(df, unique, ["k"])
     assert got.columns == want.columns == ["k", "n", "v"]
     assert Counter(values(got, "k", "n", "v")) == Counter(values(want, "k", "n", "v"))
 
 
-def test_hot_key_is_spread_over_cells(spark):
-    child = spark.range(1000).select(F.lit("hot").alias("k"), F.col("id").alias("c"))
-    counts = [keyed.key_counts(child, ["k"], "_rows0")]
-    hot = keyed._hot_slices(counts, "k", 100)
-    cells = keyed._to_cells(child, 0, 1, hot, "k").groupBy("_cell").count().collect()
-    assert len(cells) == 10 and max(r["count"] for r in cells) < 200
-
-
-def test_small_inputs_are_not_split(spark, sf_dir):
-    left = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
-    child = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").alias("k"), "l_quantity")
-    assert 0 < keyed.input_bytes(child) < keyed.UNSPLIT_BYTES
-    joined = keyed.fan_out_left_join(left, [child], "k")
-    assert "_cell" not in joined._jdf.queryExecution().toString()
+def largest_share(df):
+    """Rows of the fullest partition, and of all."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes), sum(sizes)
+
+
+@pytest.fixture
+def even(spark):
+    """Many partitions, as they are: nothing brought together at run time."""
+    changed = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_hot_product_is_cut(spark, even):
+    """No side is hot by itself; what the key makes is."""
+    left = spark.createDataFrame([("hot",)], "k string")
+    cars = spark.range(0, 600, 1, 8).select(F.lit("hot").alias("k"), F.col("id").alias("c"))
+    pays = spark.range(0, 500, 1, 8).select(F.lit("hot").alias("k"), F.col("id").alias("p"))
+    most, total = largest_share(keyed.fan_out_left_join(left, [cars, pays], "k", hot_rows=2000))
+    assert total == 300_000 and most < total / 10
+
+
+def test_hot_left_key_and_null_keys_are_cut(spark, even):
+    left = spark.range(0, 6000, 1, 8).select(F.when(F.col("id") % 2 == 0, "hot").alias("k"), "id")
+    child = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)], "k string, c int")
+    most, total = largest_share(keyed.fan_out_left_join(left, [child], "k", hot_rows=100))
+    assert total == 9000 and most < total / 8
+    unique = spark.createDataFrame([("hot", 1), (None, 2)], "k string, v int")
+    found = keyed.lookup_left_join(left, unique, ["k"], hot_rows=100)
+    most, total = largest_share(found)
+    assert total == 6000 and most < total / 8 and found.filter("v = 1").count() == 3000
 
 
 def test_duplicated_and_not_in(spark):
