@@ -13,17 +13,11 @@ from ..streaming import ingest
 from .base import Frames, register
 from .pipeline import EVENT_ROWS
 
-_MESSAGES: dict[tuple[str, str], str] = {}
-
-
 def message_path(f: Frames) -> str:
-    """The booking messages of a data set as files, written once per session."""
-    key = (f.spark.sparkContext.applicationId, f.sf_dir)
-    if key not in _MESSAGES:
-        path = fresh_path(f.spark, "messages")
-        events.to_kv(bridge.nested_events(f.spark, f.sf_dir), "booking_id").write.parquet(path)
-        _MESSAGES[key] = path
-    return _MESSAGES[key]
+    """The booking messages of a data set as files."""
+    path = fresh_path(f.spark, "messages")
+    events.to_kv(bridge.nested_events(f.spark, f.sf_dir), "booking_id").write.parquet(path)
+    return path
 
 
 def _lake(spark: SparkSession) -> Settings:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,16 +41,25 @@ def read_event_files(spark: SparkSession, path: str, files_per_trigger: int = 64
     )
 
 
-def decode_json(df: DataFrame, struct: T.StructType | None = None) -> DataFrame:
-    """Message value to typed columns plus ``_corrupt_record`` holding text that did not fit.
+def decode_json(
+    df: DataFrame, struct: T.StructType | None = None, required: tuple[str, ...] = ("booking_id",), carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Message value to typed columns plus ``_corrupt_record``, the text of a message that is no event.
 
-    The reader is permissive, so a bad message is visible instead of becoming an all-null row.
+    The reader is permissive, so a bad message is visible instead of becoming an all-null row. Besides text that
+    does not fit, messages without a value, empty ones, ``{}`` and those lacking a ``required`` field are no events;
+    a null value is kept as empty text. ``carry`` names columns of ``df`` to keep.
     """
     struct = struct or schema(EVENT_DDL)
     widened = T.StructType([*struct.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = F.from_json(F.col("value").cast("string"), widened, options)
-    return df.select(parsed.alias("event")).select("event.*")
+    text = F.col("value").cast("string")
+    parsed = df.select(*carry, text.alias("_text"), F.from_json(text, widened, options).alias("event"))
+    parsed = parsed.select(*carry, "_text", "event.*")
+    empty = reduce(lambda a, b: a & b, [F.col(f.name).isNull() for f in struct.fields])
+    missing = [F.col(c).isNull() for c in required if c in struct.fieldNames()]
+    bad = reduce(lambda a, b: a | b, missing, empty | F.col(CORRUPT).isNotNull())
+    return parsed.withColumn(CORRUPT, F.when(bad, F.coalesce("_text", F.lit("")))).drop("_text")
 
 
 def split_decoded(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

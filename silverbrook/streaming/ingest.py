@@ -7,14 +7,16 @@ tables and is idempotent per batch.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import Settings
 from ..sources import events as ev
-from ..sources.tables import balanced, upsert
+from ..sources.tables import balanced, table_exists, upsert
 
 # Table name -> how it is cut from decoded events, and its partition columns.
 BRONZE: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
@@ -22,6 +24,9 @@ BRONZE: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
     "cars": (ev.bronze_cars, ()),
     "payments": (ev.bronze_payments, ()),
 }
+REJECTS = "rejects"
+# Digests of the messages each run of the single-pass stream has written.
+LEDGER = "_messages"
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
@@ -37,14 +42,23 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, partition_by: Seque
 
 
 def decoded_stream(messages: DataFrame) -> DataFrame:
+    """The events of a message stream; what is no event belongs to ``rejected_stream``."""
     good, _ = ev.split_decoded(ev.decode_json(messages))
     return good
 
 
+def rejected_stream(messages: DataFrame) -> DataFrame:
+    _, bad = ev.split_decoded(ev.decode_json(messages))
+    return bad
+
+
 def start_bronze(messages: DataFrame, settings: Settings) -> dict[str, StreamingQuery]:
-    """Three independent append queries off one message stream."""
+    """Independent append queries off one message stream: the three tables (T01, T03) and the rejects."""
     decoded = decoded_stream(messages)
-    return {
+    rejects = append_stream(
+        rejected_stream(messages), settings.table_path("bronze", REJECTS), settings.checkpoint_path(REJECTS)
+    )
+    return {REJECTS: rejects} | {
         name: append_stream(
             cut(decoded), settings.table_path("bronze", name), settings.checkpoint_path(name), partition_by
         )
@@ -65,24 +79,49 @@ def finish(queries: dict[str, StreamingQuery], timeout_seconds: int | None = Non
 def start_bronze_once(messages: DataFrame, settings: Settings) -> StreamingQuery:
     """One query writing all bronze tables and the rejects, decoding every message once.
 
-    Each batch replaces its own ``batch`` slice, so a batch that is run again after a failure leaves
-    exactly one copy.
+    Slices are named by run and batch. A run is the life of a checkpoint: its name is written beside the offsets
+    and goes with them, so a new checkpoint, whose batches count from 0 again, never replaces another run's
+    slices. Within a run a batch that is run again replaces its own slice and leaves exactly one copy. What an
+    earlier run has written is left out of a later one by message identity: topic, partition and offset where the
+    source has them, else a digest of key and value, by which a message that repeats an earlier run's is that run's.
     """
+    checkpoint = settings.checkpoint_path("bronze")
+    identity = [c for c in ("topic", "partition", "offset") if c in messages.columns]
+    identity = identity if len(identity) == 3 else ["key", "value"]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = ev.decode_json(batch).persist()
+        spark = batch.sparkSession
+        run = run_name(spark, checkpoint)
+        ledger = settings.table_path("bronze", LEDGER)
+        named = batch.withColumn("_id", F.sha2(F.to_json(F.struct(*[F.col(c).cast("string") for c in identity])), 256))
+        if table_exists(spark, ledger):
+            others = spark.read.schema("id string, run string, batch string").parquet(ledger).filter(F.col("run") != run)
+            named = named.join(others.select(F.col("id").alias("_id")).distinct(), "_id", "left_anti")
+        decoded = ev.decode_json(named, carry=("_id",)).persist()
         try:
             good, bad = ev.split_decoded(decoded)
-            cuts = {name: cut(good) for name, (cut, _) in BRONZE.items()}
-            for name, frame in {**cuts, "rejects": bad}.items():
-                _write_slice(frame, settings.table_path("bronze", name), batch_id)
+            for name, (cut, partition_by) in BRONZE.items():
+                _write_slice(cut(good), settings.table_path("bronze", name), run, batch_id, partition_by)
+            _write_slice(bad, settings.table_path("bronze", REJECTS), run, batch_id)
+            # Last, so that a batch that failed half-way is not taken for written.
+            _write_slice(decoded.select(F.col("_id").alias("id")), ledger, run, batch_id)
         finally:
             decoded.unpersist()
 
-    return _foreach(messages, write, settings.checkpoint_path("bronze"))
+    return _foreach(messages, write, checkpoint)
+
+
+def run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of a checkpoint's life, made on its first batch."""
+    path = f"{checkpoint}/run"
+    if not table_exists(spark, path):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first().value
 
 
-def _write_slice(frame: DataFrame, path: str, batch_id: int) -> None:
-    frame.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def _write_slice(frame: DataFrame, path: str, run: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    writer = (balanced(frame, partition_by) if partition_by else frame).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/run={run}/batch={batch_id}")
 
 
 def start_upsert(

@@ -44,6 +44,14 @@ def test_good_and_bad_messages(spark):
     assert sorted(values(events.bronze_payments(good), "booking_id")) == [("B1",), ("B3",), ("B5",)]
 
 
+def test_messages_that_are_no_events_are_rejected(spark):
+    rows = [("a", json.dumps(EVENT)), ("b", None), ("c", ""), ("d", "{}"), (None, json.dumps({**EVENT, "booking_id": None})), ("e", "[]")]
+    df = spark.createDataFrame(rows, "key string, value string")
+    good, bad = events.split_decoded(events.decode_json(df))
+    assert values(good, "booking_id") == [("B1",)]
+    assert bad.count() == 5 and bad.filter("value is null").count() == 0
+
+
 def test_bronze_to_silver(spark):
     good, _ = events.split_decoded(events.decode_json(_messages(spark, json.dumps(EVENT))))
     bronze = events.bronze_booking(good)
@@ -106,6 +114,42 @@ def test_single_pass_keeps_rejects(spark, folder):
     assert sizes == {"booking": 2, "cars": 4, "payments": 2, "rejects": 1}
 
 
+def test_three_streams_keep_rejects(spark, folder):
+    lake, source = replace(Settings(), lake_root=f"{folder}/lake"), f"{folder}/in"
+    _write(spark, source, "B1")
+    ingest.finish(ingest.start_bronze(events.read_event_files(spark, source), lake))
+    assert values(tables.read_table(spark, lake.table_path("bronze", "rejects")), "value") == [("{bad",)]
+
+
+def test_new_checkpoint_with_other_batches_loses_and_doubles_nothing(spark, folder):
+    """The checkpoint is lost twice; batches differ, and the oldest messages have gone the second time."""
+    lake = replace(Settings(), lake_root=f"{folder}/lake")
+    files = [f"{folder}/in{i}" for i in range(3)]
+    for i, path in enumerate(files):
+        spark.createDataFrame([(f"k{i}", json.dumps({**EVENT, "booking_id": f"B{i}"}))] * 2, "key string, value string").coalesce(
+            1
+        ).write.parquet(path)
+    for life, (inputs, per_trigger) in enumerate([(files[:2], 1), (files, 64), (files[1:], 2)]):
+        run = replace(lake, lake_root=lake.lake_root)
+        source = f"{folder}/life{life}"
+        for path in inputs:
+            spark.read.parquet(path).write.mode("append").parquet(source)
+        run = _other_checkpoint(run, f"{folder}/ck{life}")
+        ingest.start_bronze_once(events.read_event_files(spark, source, per_trigger), run).awaitTermination()
+        booking = tables.read_table(spark, lake.table_path("bronze", "booking"))
+        want = 2 if life == 0 else 3
+        assert sorted(values(booking, "booking_id")) == sorted((f"B{i}",) for i in range(want) for _ in range(2))
+    assert {"run", "batch", "year", "month", "day"} <= set(booking.columns)
+
+
+def _other_checkpoint(settings, path):
+    class Moved(Settings):
+        def checkpoint_path(self, name):
+            return f"{path}/{name}"
+
+    return Moved(lake_root=settings.lake_root)
+
+
 def test_lost_checkpoint_changes_nothing_in_a_keyed_table(spark, folder):
     source, path = f"{folder}/in", f"{folder}/payments"
     _write(spark, source, "B1", "B2")
