@@ -284,3 +284,28 @@ def test_evaluations(spark):
     assert mon.forecast_evaluation(days, stored, as_of=as_of).first()["verdict"] == "needs_retraining"
     late = mon.forecast_evaluation(days, forecast, as_of=F.lit("2025-01-05").cast("date")).first()
     assert (late["status"], late["mape"], late["verdict"]) == ("no_overlap", None, None)
+
+
+def _odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, [0.9, 0.1]), (4, None), (5, [None, 1.0]), (6, [float("nan"), 1.0]),
+            (7, [1.0, 0.0, 0.0]), (8, [0.0, 1.0]), (9, [1.0, 0.0])]
+    return spark.createDataFrame(rows, "id int, v array<double>")
+
+
+def test_nearest_leaves_vectors_without_direction_out(spark):
+    found = vectors.nearest(_odd_vectors(spark), [1.0, 0.0], 10, key="id", vector="v").collect()
+    assert [r.id for r in found] == [1, 9, 3, 8]
+    assert vectors.nearest(_odd_vectors(spark), [0.0, 0.0], 10, key="id", vector="v").count() == 0
+
+
+def test_both_forms_of_batched_search_agree_on_odd_vectors(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PAIRS", 2)
+    df = _odd_vectors(spark)
+    for k in (1, 2, 10):
+        small, blocks = (
+            sorted(map(tuple, vectors.nearest_batch(df, df.withColumnRenamed("id", "q"), k, key="id", vector="v",
+                   query_key="q", query_vector="v", query_limit=n).collect()))
+            for n in (100, 2)
+        )
+        assert small == blocks
+        assert len(small) == 4 * min(k, 4) + 1 * 1
