@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 
 from ...contracts import FRAUD_SCORES
 from ...functions import rules
+from ...operators.quantile import exact_quantile
 from ...operators.series import min_max_risk
 from ...session import use_checkpoints
 from .features import CATEGORIES, FRAUD_FEATURES, assemble, fit_codes
 
 # The published model's parameters.
 TREES, SAMPLE_ROWS, CONTAMINATION, SEED = 200, 256, 0.05, 42
-POOL_ROWS = 4 * TREES * SAMPLE_ROWS
+# Scores times this are whole numbers: they lie in [-1, 0] and carry 53 bits.
+SCORE_SCALE = 1 << 60
 MODEL_NAME = "isolation_forest"
 NODE_DDL = "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
 EULER = 0.5772156649
@@ -35,30 +37,30 @@ def row_hash(keys: Sequence[str], seed: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 11) / F.lit(float(1 << 53))
 
 
-def sample_pool(df: DataFrame, keys: Sequence[str], pool_rows: int = POOL_ROWS, seed: int = SEED) -> DataFrame:
-    """About ``pool_rows`` keys by hash, one row each; all keys if there are fewer.
+def tree_samples(df: DataFrame, keys: Sequence[str], trees: int, rows: int, seed: int = SEED) -> DataFrame:
+    """About ``1.25 * rows`` rows for each tree, drawn from the whole table; each tree's task cuts them to ``rows``.
 
-    Copies of a row share its hash, so they are combined (map-side first) before trees draw from the pool.
+    A row's hash says how often it is drawn, so that draws meet their expected number over the true row count, and
+    by which trees, a run of consecutive ones; in a small table every tree draws every row. Copies of a row share
+    its hash and are combined, map-side first.
     """
-    share = F.lit(float(pool_rows)) / F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))
-    return df.filter(row_hash(keys, seed) < share).groupBy(*keys).agg(F.max("x").alias("x"))
-
-
-def tree_samples(pool: DataFrame, keys: Sequence[str], trees: int, rows: int, seed: int = SEED) -> DataFrame:
-    """The pool drawn once per tree; each draw is slightly large and cut to ``rows`` by the tree's task."""
-    share = F.lit(1.25 * rows) / F.greatest(pool.agg(F.count(F.lit(1))).scalar(), F.lit(1))
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    return drawn.withColumn("draw", row_hash([*keys, "tree"], seed)).filter(F.col("draw") < share)
+    share = F.lit(1.25 * rows * trees) / F.greatest(df.agg(F.count(F.lit(1))).scalar(), F.lit(1))
+    drawn = df.withColumn("_share", F.least(share, F.lit(float(trees))))
+    times = F.floor("_share") + (row_hash(keys, seed) < F.col("_share") - F.floor("_share")).cast("long")
+    drawn = drawn.withColumn("_times", times).filter(F.col("_times") > 0)
+    drawn = drawn.groupBy(*keys).agg(F.max("x").alias("x"), F.max("_times").alias("_times"))
+    first = F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(trees))
+    drawn = drawn.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") - 1)))
+    drawn = drawn.withColumn("tree", ((first + F.col("_i")) % trees).cast("int"))
+    return drawn.withColumn("draw", row_hash([*keys, "tree"], seed)).drop("_times", "_i")
 
 
 def fit_forest(
     df: DataFrame, keys: Sequence[str], trees: int = TREES, rows: int = SAMPLE_ROWS, seed: int = SEED
 ) -> DataFrame:
     """Grow the forest: one row per tree node (``NODE_DDL``). ``df`` has a ``features`` vector."""
-    use_checkpoints(df.sparkSession)
     narrow = df.select(*keys, vector_to_array("features").alias("x"))
-    pool = sample_pool(narrow, keys, 4 * trees * rows, seed).checkpoint()
-    samples = tree_samples(pool, keys, trees, rows, seed)
+    samples = tree_samples(narrow, keys, trees, rows, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
@@ -150,10 +152,9 @@ def score_rows(df: DataFrame, forest_nodes: DataFrame) -> DataFrame:
 
 
 def label_scores(scored: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
-    """Flag the lowest share of scores, scale to 0-100 and band."""
-    # Scores lie in [-1, 0]; a percentile sketch with a 1e-5 rank error is enough for a flag at 5 %.
-    cut = scored.agg(F.percentile_approx("anomaly_score", contamination, 100_000)).scalar()
-    flagged = scored.withColumn("is_fraud", (F.col("anomaly_score") <= cut).cast("int"))
+    """Flag scores below the exact quantile of the lowest share, scale to 0-100 and band."""
+    cut = exact_quantile(scored, "anomaly_score", contamination, SCORE_SCALE)
+    flagged = scored.withColumn("is_fraud", F.coalesce(F.col("anomaly_score") < F.lit(cut), F.lit(False)).cast("int"))
     scaled = min_max_risk(flagged, "anomaly_score", "fraud_risk_score")
     return scaled.withColumn("risk_label", rules.fraud_risk_label(F.col("fraud_risk_score")))
 

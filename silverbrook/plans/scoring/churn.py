@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...contracts import CHURN_SCORES
 from ...functions import fixed_values as fixed
 from ...functions import rules
 from ...operators.keyed import days_since_last
-from ...operators.quantile import exact_quantile
+from ...operators.quantile import exact_quantile, order_statistic, value_counts
 from ...operators.series import calendar_quantile
 from ...session import use_checkpoints
-from .anomaly import row_hash
 from .features import CATEGORIES, CHURN_FEATURES, assemble, fit_codes
 
 # The published model's parameters.
@@ -73,12 +73,37 @@ def both_classes(labelled: DataFrame) -> DataFrame:
 
 
 def split(labelled: DataFrame, keys: Sequence[str] = KEYS, test_share: float = TEST_SHARE, seed: int = SEED):
-    """Train and test by key hash: stable under repartitioning and reruns.
+    """Train and test by key hash, stratified: of each class exactly ``test_share`` of the rows, rounded.
 
-    The hash does not depend on the label, so each class is split in the same proportion.
+    The rows with the smallest hashes of their class are held out. The cut is an order statistic found by counting
+    digits; only rows that tie at the cut, copies of one key, are numbered.
     """
-    draw = row_hash(list(keys), seed)
-    return labelled.filter(draw >= test_share), labelled.filter(draw < test_share)
+    digest = F.xxhash64(*keys, F.lit(seed))
+    sizes = {r[0]: r[1] for r in labelled.groupBy("churn_label").agg(F.count(F.lit(1))).collect()}
+    test = train = None
+    for label, n in sorted(sizes.items(), key=str):
+        rows = labelled.filter(F.col("churn_label").eqNullSafe(F.lit(label))).withColumn("_h", digest)
+        wanted = int(n * test_share + 0.5)
+        if wanted == 0:
+            parts = rows.filter(F.lit(False)), rows
+        else:
+            counted = value_counts(rows.select(F.col("_h").alias("key"))).persist(StorageLevel.MEMORY_AND_DISK)
+            cut = order_statistic(counted, wanted - 1)
+            below, at = (counted.filter(c).agg(F.sum("n")).first()[0] or 0 for c in (f"key < {cut}", f"key = {cut}"))
+            counted.unpersist()
+            if below + at == wanted:
+                parts = rows.filter(F.col("_h") <= cut), rows.filter(F.col("_h") > cut)
+            else:
+                order = Window.partitionBy("_h").orderBy(*keys)
+                tied = rows.filter(F.col("_h") == cut).withColumn("_r", F.row_number().over(order))
+                parts = (
+                    rows.filter(F.col("_h") < cut).unionByName(tied.filter(F.col("_r") <= wanted - below).drop("_r")),
+                    rows.filter(F.col("_h") > cut).unionByName(tied.filter(F.col("_r") > wanted - below).drop("_r")),
+                )
+        parts = [p.drop("_h") for p in parts]
+        test = parts[0] if test is None else test.unionByName(parts[0])
+        train = parts[1] if train is None else train.unionByName(parts[1])
+    return (labelled, labelled) if test is None else (train, test)
 
 
 def fit(

@@ -102,8 +102,12 @@ def test_churn_model_learns_recency(spark):
 
 
 def test_split_is_stable_and_disjoint(spark):
-    df = _customers(spark)
+    df = _customers(spark).withColumn("churn_label", (F.substring("booking_id", -1, 1) == "7").cast("int"))
     train, test = churn.split(df)
+    sizes = {r[0]: r[1] for r in df.groupBy("churn_label").count().collect()}
+    assert {r[0]: r[1] for r in test.groupBy("churn_label").count().collect()} == {
+        k: int(n * 0.2 + 0.5) for k, n in sizes.items()
+    }
     ids = {r[0] for r in values(train, "booking_id")}, {r[0] for r in values(test, "booking_id")}
     assert not ids[0] & ids[1] and len(ids[0] | ids[1]) == 400 and 40 < len(ids[1]) < 120
     again = churn.split(df.repartition(9))[1]
@@ -131,3 +135,21 @@ def test_roll_up_takes_the_highest_probability(spark):
         "is_high_value_customer boolean, churn_probability double")
     got = churn.roll_up(df, 0.8).collect()
     assert [(r["customer_id"], r["churn_probability"], r["churn_risk"]) for r in got] == [("a", 0.7, "HIGH")]
+
+
+def test_split_numbers_rows_that_tie_at_the_cut(spark):
+    rows = [("b", "c", "p", 1)] * 10 + [(f"b{i}", "c", "p", 0) for i in range(9)]
+    df = spark.createDataFrame(rows, "booking_id string, car_id string, payment_id string, churn_label int")
+    train, test = churn.split(df)
+    assert {r[0]: r[1] for r in test.groupBy("churn_label").count().collect()} == {0: 2, 1: 2}
+    assert train.count() == 15
+
+
+def test_trees_draw_from_the_whole_table_and_small_tables_whole(spark):
+    big = spark.range(20_000).select(F.col("id").alias("k"), F.array(F.col("id").cast("double")).alias("x"))
+    drawn = anomaly.tree_samples(big, ["k"], 20, 100)
+    sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    assert len(sizes) == 20 and 60 < min(sizes) and max(sizes) < 220
+    assert drawn.groupBy("tree", "k").count().filter("count > 1").count() == 0
+    small = anomaly.tree_samples(big.limit(30), ["k"], 20, 100).groupBy("tree").count().collect()
+    assert {r["count"] for r in small} == {30} and len(small) == 20
