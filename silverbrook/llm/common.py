@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_path
+from ..session import fresh_path, ship_package
 
 #: Sides of a join with at most so many ids (8 bytes each) are broadcast; larger ones are shuffled.
 BROADCAST_IDS = 4_000_000
@@ -25,6 +25,7 @@ _WORD_BYTES = bytes(0x20 if b in _SEPARATORS else b + 0x20 if 0x41 <= b <= 0x5A
 
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 

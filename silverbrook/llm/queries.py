@@ -82,4 +82,89 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Words of the contract, as DuckDB's regular expressions spell them.
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLES: dict[str, str] = {
+    "op4_jaccard_join": f"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE
+    list_transform(range(1, greatest(len(w) - 3, 1) + 1), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
+classes AS (SELECT s, min(doc_id) AS rep, count(*) AS size, len(s) AS n FROM sets GROUP BY s),
+tokens AS (SELECT rep, n, unnest(s) AS t FROM classes),
+often AS (SELECT t FROM tokens GROUP BY t HAVING count(*) > 1),
+kept AS (SELECT rep, n, t FROM tokens SEMI JOIN often USING (t)),
+pairs AS (
+  SELECT a.rep AS a, b.rep AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM kept a JOIN kept b USING (t) WHERE a.rep < b.rep GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * o >= 85 * (na + nb - o)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+walk AS (SELECT rep AS a, rep AS b FROM classes WHERE n > 0 UNION SELECT w.a, e.b FROM walk w JOIN both_ways e ON w.b = e.a),
+labels AS (SELECT a AS rep, min(b) AS component FROM walk GROUP BY a),
+partners AS (SELECT e.a AS rep, sum(c.size) AS links FROM both_ways e JOIN classes c ON c.rep = e.b GROUP BY e.a)
+SELECT d.doc_id, CAST(c.n AS BIGINT) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id,
+       CAST(CASE WHEN c.n = 0 THEN 0 ELSE c.size - 1 + coalesce(p.links, 0) END AS BIGINT) AS n_links
+FROM sets d JOIN classes c ON d.s = c.s LEFT JOIN labels l ON l.rep = c.rep LEFT JOIN partners p ON p.rep = c.rep""",
+    "op6_url_filter": """
+WITH parts AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(verdict, h, p) AS (VALUES
+  ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'),
+  ('block', 'com', '/de/')),
+fitting AS (
+  SELECT page_id, host, path, max_by(struct_pack(r := h || p, v := verdict), length(h || p)) AS best
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY page_id, host, path)
+SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict FROM fitting""",
+    "op7_decontamination": f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS k,
+         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), i -> array_to_string(w[i:i + least(len(w), 13) - 1], ' ')))
+           AS phrase
+  FROM items WHERE len(w) > 0),
+docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+places AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM docs, (SELECT DISTINCT k FROM windows) WHERE len(w) >= k),
+found AS (
+  SELECT doc_id, i, s.k, item_id
+  FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM places) s JOIN windows USING (k, phrase)),
+hits AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         array_to_string(list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))), ',') AS names FROM found GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op8_license_scan": f"""
+WITH docs AS (SELECT doc_id, {_LOWER} AS norm, {_WORDS} AS w FROM documents),
+phrases(p, label) AS (VALUES
+  (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')),
+places AS (
+  SELECT doc_id, label, unnest(list_filter(range(0, len(w)), i -> w[i + 1:i + len(p)] = p)) AS i FROM docs, phrases),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
+templates(label, t) AS (VALUES {", ".join(
+    f"('{label}', {list(dict.fromkeys(text.split()))})" for label, text in license_scan.TEMPLATES
+)}),
+blocks AS (
+  SELECT doc_id, list_distinct(regexp_extract_all(b, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(norm, '[\\n\\r]+|[.!?;][ \\t\\n\\x0B\\f\\r]+')) AS b FROM docs)),
+shares AS (
+  SELECT doc_id, label, CAST(len(list_intersect(t, w)) AS DOUBLE) / len(t) AS share FROM blocks, templates),
+met AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS best FROM shares
+  WHERE share >= {license_scan.CONTAINMENT} - 1e-9 GROUP BY doc_id)
+SELECT doc_id, len(docs.w) AS n_words, coalesce(n, 0) AS n_base, first AS first_word, last AS last_word,
+       array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ',') AS labels,
+       CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)""",
+}
