@@ -83,7 +83,7 @@ class Frames:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return daily_counts(self.booking)
+        return daily_counts(self.mart)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -169,7 +169,7 @@ SELECT 'B' || CAST(l_orderkey AS VARCHAR) AS booking_id,
        CASE l_suppkey % 4 WHEN 0 THEN 'HDFC' WHEN 1 THEN 'ICICI' WHEN 2 THEN 'TATA AIG' ELSE 'ACME' END
          AS insurance_provider,
        CASE l_returnflag WHEN 'A' THEN ' FULL ' WHEN 'N' THEN 'Partial' ELSE 'basic' END AS insurance_coverage
-FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F'""",
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "f_b_payments": """
 SELECT 'B' || CAST(l_orderkey AS VARCHAR) AS booking_id,
        'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
@@ -177,7 +177,7 @@ SELECT 'B' || CAST(l_orderkey AS VARCHAR) AS booking_id,
        CASE l_linenumber WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'debit_card' WHEN 3 THEN 'UPI' WHEN 4 THEN 'gpay'
             WHEN 5 THEN 'COD' WHEN 6 THEN 'Net Banking' ELSE ' PhonePe ' END AS payment_method,
        l_extendedprice / 5 AS payment_amount
-FROM lineitem WHERE l_linestatus = 'O'""",
+FROM lineitem""",
     "f_customer": """
 SELECT *, CASE WHEN email LIKE '%@%' THEN split_part(email, '@', 2) ELSE 'unknown' END AS email_domain,
        CAST(CASE loyalty_tier WHEN 'platinum' THEN 4 WHEN 'gold' THEN 3 WHEN 'silver' THEN 2 ELSE 1 END AS INTEGER)
@@ -245,7 +245,7 @@ SELECT b.booking_id, b.customer_id, customer_name, email, loyalty_tier, loyalty_
 FROM f_booking b LEFT JOIN f_customer c ON b.customer_id = c.customer_id
 LEFT JOIN f_cars k ON b.booking_id = k.booking_id LEFT JOIN f_payments p ON b.booking_id = p.booking_id""",
     "f_daily": """
-SELECT booking_date AS ds, count(*) AS y FROM f_booking WHERE booking_date IS NOT NULL GROUP BY booking_date""",
+SELECT booking_date AS ds, count(*) AS y FROM f_serving WHERE booking_date IS NOT NULL GROUP BY booking_date""",
     "f_fraud": """
 SELECT *, CASE WHEN fraud_risk_score < 0 THEN NULL WHEN fraud_risk_score <= 25 THEN 'LOW'
                WHEN fraud_risk_score <= 50 THEN 'MEDIUM' WHEN fraud_risk_score <= 75 THEN 'HIGH'
@@ -278,7 +278,7 @@ SELECT 'booking_pipeline' AS pipeline_name, 'stage_' || CAST(user_id % 7 AS VARC
        'event ' || CAST(event_id AS VARCHAR) AS error_message,
        CASE event_id % 3 WHEN 0 THEN 'FAILURE' WHEN 1 THEN 'DQ_WARNING' ELSE 'SUCCESS' END AS alert_type,
        ts AS created_at
-FROM events WHERE event_type = 'error'""",
+FROM events""",
     "f_results": """
 SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_identifier, 27 AS total_expectations,
        CAST(27 - user_id % 9 AS INTEGER) AS passed_expectations, CAST(user_id % 9 AS INTEGER) AS failed_expectations,
@@ -295,7 +295,7 @@ SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_identifier,
        'reason ' || CAST(event_id % 8 AS VARCHAR) AS failed_reason,
        'B' || CAST(event_id AS VARCHAR) AS booking_id, 'Customer ' || CAST(user_id AS VARCHAR) AS customer_name,
        value AS payment_amount
-FROM events WHERE event_type IN ('click', 'purchase')""",
+FROM events""",
     "f_details": """
 SELECT 'run_' || CAST(user_id AS VARCHAR) AS run_identifier,
        CASE event_id % 4 WHEN 0 THEN 'expect_column_values_to_not_be_null'

@@ -182,12 +182,12 @@ register(
 )
 register(
     "p35_fraud_bands",
-    lambda f: bridge.fraud_scores(f.booking).select("booking_id", "fraud_risk_score", "risk_label"),
+    lambda f: bridge.fraud_scores(f.mart).select("booking_id", "fraud_risk_score", "risk_label"),
     """SELECT booking_id, s AS fraud_risk_score,
               CASE WHEN s <= 25 THEN 'LOW' WHEN s <= 50 THEN 'MEDIUM' WHEN s <= 75 THEN 'HIGH' ELSE 'CRITICAL' END
                 AS risk_label
        FROM (SELECT booking_id, CAST((CAST(substr(booking_id, 2) AS BIGINT) * 7919) % 10001 AS DOUBLE) / 100 AS s
-             FROM f_booking)""",
+             FROM f_serving)""",
 )
 register(
     "p35_churn_bands",
@@ -263,12 +263,12 @@ register(
 register(
     "j08_days_since_last",
     lambda f: keyed.days_since_last(
-        f.booking.select("booking_id", "customer_id", "booking_date"), "customer_id", "booking_date",
+        f.mart.select("booking_id", "customer_id", "booking_date"), "customer_id", "booking_date",
         F.lit("2002-01-01").cast("date"), fixed.UNSEEN_DAYS,
     ).drop("booking_date"),
     """SELECT booking_id, customer_id, max(booking_date) OVER (PARTITION BY customer_id) AS last_booking_date,
               CAST(date_diff('day', max(booking_date) OVER (PARTITION BY customer_id), DATE '2002-01-01') AS INTEGER)
-                AS days_since_last_booking FROM f_booking""",
+                AS days_since_last_booking FROM f_serving""",
 )
 
 

@@ -49,7 +49,7 @@ register("m05_anomaly_scores", lambda f: anomaly.detect(f.serving))
 register(
     "m06_risk_scores",
     lambda f: sr.min_max_risk(
-        f.booking.select("booking_id", F.expr(f"-({CHURN_SCORE.replace('customer_id', 'booking_id')})").alias("anomaly")),
+        f.mart.select("booking_id", F.expr(f"-({CHURN_SCORE.replace('customer_id', 'booking_id')})").alias("anomaly")),
         "anomaly",
     ).withColumn("risk_label", rules.fraud_risk_label(F.col("fraud_risk_score"))),
     """SELECT *, CASE WHEN fraud_risk_score <= 25 THEN 'LOW' WHEN fraud_risk_score <= 50 THEN 'MEDIUM'
@@ -57,7 +57,7 @@ register(
        FROM (SELECT booking_id, anomaly, greatest(0.0, least(100.0, round((anomaly - max(anomaly) OVER ())
                     / (min(anomaly) OVER () - max(anomaly) OVER () + 1e-9) * 100, 2))) AS fraud_risk_score
              FROM (SELECT booking_id, -(CAST((CAST(substr(booking_id, 2) AS BIGINT) * 7919) % 1001 AS DOUBLE) / 1000)
-                            AS anomaly FROM f_booking))""",
+                            AS anomaly FROM f_serving))""",
 )
 AS_OF = "2001-09-01"
 
@@ -97,9 +97,9 @@ register(
 
 
 def _split_sizes(f: Frames):
-    train, test = churn.split(_labelled(f))
-    named = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
-    return named.groupBy("churn_label").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("parts"))
+    train, test = churn.split(_labelled(f).select(*KEYS, "churn_label"))
+    named = train.withColumn("held", F.lit(0)).unionByName(test.withColumn("held", F.lit(1)))
+    return named.groupBy("churn_label").agg(F.count(F.lit(1)).alias("n"), F.sum("held").alias("tested"))
 
 
 register(
@@ -110,7 +110,8 @@ register(
         cuts AS (SELECT greatest(60, CAST(floor(quantile_cont(days, 0.3)) AS INTEGER)) AS t,
                         CAST(sum(CAST(round(payment_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(payment_amount)
                           AS mean FROM recent)
-        SELECT CAST((days > t OR {BEHAVIOUR}) AS INTEGER) AS churn_label, count(*) AS n, 2 AS parts
+        SELECT CAST((days > t OR {BEHAVIOUR}) AS INTEGER) AS churn_label, count(*) AS n,
+               CAST(floor(count(*) * 0.2 + 0.5) AS BIGINT) AS tested
         FROM recent CROSS JOIN cuts GROUP BY 1""",
 )
 

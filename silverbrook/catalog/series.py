@@ -96,9 +96,9 @@ register(
 register(
     "w08_quantile_days",
     lambda f: sr.calendar_quantile(
-        f.booking.select(F.date_diff(F.lit("2002-01-01").cast("date"), "booking_date").alias("days")), "days", 0.3
+        f.mart.select(F.date_diff(F.lit("2002-01-01").cast("date"), "booking_date").alias("days")), "days", 0.3
     ),
-    """SELECT quantile_cont(date_diff('day', booking_date, DATE '2002-01-01'), 0.3) AS quantile FROM f_booking""",
+    """SELECT quantile_cont(date_diff('day', booking_date, DATE '2002-01-01'), 0.3) AS quantile FROM f_serving""",
 )
 
 
