@@ -92,7 +92,7 @@ WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 sets AS (
   SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE
-    list_transform(range(1, greatest(len(w) - 3, 1) + 1), i -> array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
+    list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM worded),
 classes AS (SELECT s, min(doc_id) AS rep, count(*) AS size, len(s) AS n FROM sets GROUP BY s),
 tokens AS (SELECT rep, n, unnest(s) AS t FROM classes),
 often AS (SELECT t FROM tokens GROUP BY t HAVING count(*) > 1),
@@ -125,7 +125,7 @@ SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict
 WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 windows AS (
   SELECT DISTINCT item_id, least(len(w), 13) AS k,
-         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), i -> array_to_string(w[i:i + least(len(w), 13) - 1], ' ')))
+         unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' ')))
            AS phrase
   FROM items WHERE len(w) > 0),
 docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -149,7 +149,7 @@ WITH docs AS (SELECT doc_id, {_LOWER} AS norm, {_WORDS} AS w FROM documents),
 phrases(p, label) AS (VALUES
   (['cc', 'by'], 'cc-by'), (['general', 'public', 'license'], 'gpl'), (['all', 'rights', 'reserved'], 'reserved')),
 places AS (
-  SELECT doc_id, label, unnest(list_filter(range(0, len(w)), i -> w[i + 1:i + len(p)] = p)) AS i FROM docs, phrases),
+  SELECT doc_id, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS i FROM docs, phrases),
 base AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(DISTINCT label) AS labels FROM places GROUP BY doc_id),
 templates(label, t) AS (VALUES {", ".join(
     f"('{label}', {list(dict.fromkeys(text.split()))})" for label, text in license_scan.TEMPLATES
