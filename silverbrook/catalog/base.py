@@ -173,7 +173,8 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "f_b_payments": """
 SELECT 'B' || CAST(l_orderkey AS VARCHAR) AS booking_id,
        'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-'
-         || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS payment_id,
+         || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) || '-'
+         || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS payment_id,
        CASE l_linenumber WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'debit_card' WHEN 3 THEN 'UPI' WHEN 4 THEN 'gpay'
             WHEN 5 THEN 'COD' WHEN 6 THEN 'Net Banking' ELSE ' PhonePe ' END AS payment_method,
        l_extendedprice / 5 AS payment_amount

@@ -56,7 +56,7 @@ CAR_COLUMNS = (
 PAYMENT_COLUMNS = (
     "concat('B', CAST(l_orderkey AS STRING)) AS booking_id",
     """concat('P', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-', CAST(l_partkey AS STRING),
-       '-', CAST(l_suppkey AS STRING)) AS payment_id""",
+       '-', CAST(l_suppkey AS STRING), '-', CAST(CAST(l_quantity AS INT) AS STRING)) AS payment_id""",
     """CASE l_linenumber WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'debit_card' WHEN 3 THEN 'UPI' WHEN 4 THEN 'gpay'
        WHEN 5 THEN 'COD' WHEN 6 THEN 'Net Banking' ELSE ' PhonePe ' END AS payment_method""",
     "l_extendedprice / 5 AS payment_amount",
