@@ -146,7 +146,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> OrdinalModel:
                 names=["features", "telling", "label"],
             )
 
-    sample = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE) if known.count() > SAMPLE else texts
+    sample = texts
+    if known.count() > SAMPLE:
+        # Ids alone are put in order; the texts of the sample stay where they are.
+        chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
+        sample = docs.select("doc_id", "text").join(chosen, "doc_id")
     counted = sample.mapInArrow(count, "features string, telling bigint, label int")
     grade = F.when(F.col("label") == 0, 0).when(F.col("telling") >= SEVERE, 2).otherwise(1)
     # Equal rows, most of them without a telling word, are counted first; the driver gets the sample at most.
