@@ -183,3 +183,47 @@ def test_defaults_may_derive_from_the_row(spark):
     df = spark.createDataFrame([(None, 1)], "a string, b int")
     got = contracts.with_defaults(df, {"a": "x", "c": F.col("b") + 1}).first()
     assert (got["a"], got["c"]) == ("x", 2)
+
+
+def _bucket_files(spark, path):
+    return {f.split("_bucket=")[1].split("/")[0]: f for f in tables.read_table(spark, path).inputFiles()}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.range(400).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    tables.upsert(spark, rows, path, ["k"], buckets=8)
+    before = _bucket_files(spark, path)
+    change = spark.createDataFrame([(3, "new"), (1000, "new")], "k bigint, v string")
+    tables.upsert(spark, change, path, ["k"], buckets=8)
+    after = _bucket_files(spark, path)
+    assert len(before) == 8 and 1 <= sum(before[b] != after[b] for b in before) <= 2
+    got = dict(values(tables.read_table(spark, path), "k", "v"))
+    assert len(got) == 401 and got[3] == got[1000] == "new" and got[4] == "old"
+    assert tables.read_table(spark, path).columns == ["k", "v"]
+    tables.upsert(spark, change.limit(0), path, ["k"], buckets=8)
+    assert _bucket_files(spark, path) == after
+
+
+def test_crash_before_the_flip_leaves_the_old_version(spark, folder, monkeypatch):
+    path = f"{folder}/t"
+    tables.upsert(spark, spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_flip", broken)
+        with pytest.raises(OSError):
+            tables.upsert(spark, spark.createDataFrame([(1, "b")], "k int, v string"), path, ["k"])
+    assert values(tables.read_table(spark, path), "k", "v") == [(1, "a")]
+    with pytest.raises(tables.TableMoved):
+        tables._flip(spark, path, "v-x", "something else")
+
+
+def test_old_versions_are_kept_or_deleted(spark, folder):
+    path = f"{folder}/t"
+    for i in range(4):
+        tables.publish(spark, spark.createDataFrame([(i,)], "n int"), path, keep=1)
+    assert values(tables.read_table(spark, path), "n") == [(3,)]
+    assert len([p for p in __import__("os").listdir(path) if p.startswith("v-")]) == 2
