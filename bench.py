@@ -1,7 +1,7 @@
 """Seconds per headline query: ``BENCH_SF_DIR`` on ``local[BENCH_CPUS]``; one JSON line on stdout.
 
 The serving table is built once and written, as a deployment would; marts then read it. Every query is run
-once to warm up and then ``BENCH_RUNS`` times (default 3), and the median counts. Results are consumed in
+once to warm up and then ``BENCH_RUNS`` times (default 2), and the median counts. Results are consumed in
 full by the no-op sink, so nothing is pruned and nothing goes through the driver.
 """
 
@@ -29,7 +29,7 @@ from silverbrook.sources import bridge, events, tables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 SUITE = quality.suite(quality.booking_suite())
 # Marts over the written serving table.
