@@ -224,7 +224,7 @@ register(
 )
 register(
     "j02_booking_customer",
-    lambda f: f.booking.join(f.customer, "customer_id", "left").select(
+    lambda f: keyed.lookup_left_join(f.booking, f.customer, ["customer_id"]).select(
         "booking_id", "customer_id", "customer_name", "email", "loyalty_tier", "loyalty_points"
     ),
     """SELECT booking_id, customer_id, customer_name, email, loyalty_tier, loyalty_points

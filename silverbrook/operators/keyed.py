@@ -57,23 +57,19 @@ def lookup_left_join(
     Adaptive execution does not split a join whose lookup side comes straight out of an aggregate, which
     is the usual case here. Rows of a hot key are therefore spread over slices and its single lookup row
     is copied to each of them; each row still meets exactly one lookup row. Rows without a whole key are
-    spread over places where no lookup row is. Keys are counted first, with map-side combination; where none
-    is hot, every key has the one slice 0.
+    spread over places where no lookup row is. Keys, null ones too, are counted first, with map-side combination;
+    where none is hot, the join is a plain one, with all columns pruned and filters pushed down.
     """
     keys = list(keys)
-    counts = key_counts(df.dropna(subset=keys), keys, "_rows").filter(F.col("_rows") > hot_rows)
+    counts = key_counts(df, keys, "_rows").filter(F.col("_rows") > hot_rows)
     hot = _checked(counts.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")))
-    spread = df.withColumn("_spread", _spread(df))
-    copies = unique
     if hot is None:
-        own = F.lit(0)
-        copies = copies.withColumn("_slice", F.lit(0))
-    else:
-        slices = F.coalesce(F.col("_slices"), F.lit(1))
-        spread = spread.join(hot, keys, "left")
-        own = (F.col("_spread") % slices).cast("int")
-        copies = copies.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
-        copies = copies.drop("_slices")
+        return df.join(unique, keys, "left")
+    slices = F.coalesce(F.col("_slices"), F.lit(1))
+    spread = df.withColumn("_spread", _spread(df)).join(hot, keys, "left")
+    own = (F.col("_spread") % slices).cast("int")
+    copies = unique.join(hot, keys, "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    copies = copies.drop("_slices")
     spread = spread.withColumn("_slice", _placed(own, keys)).select(*df.columns, "_slice")
     return spread.join(copies, [*keys, "_slice"], "left").drop("_slice")
 
@@ -85,7 +81,7 @@ def _placed(own: Column, keys: Sequence[str]) -> Column:
 
 
 def _checked(hot: DataFrame) -> DataFrame | None:
-    """None where no key is hot; else the table of hot keys, broadcast if counted and small."""
+    """None where no key is hot, the null one included; else the table of hot keys, broadcast if counted and small."""
     n = hot.limit(HOT_KEYS + 1).count()
     return None if n == 0 else F.broadcast(hot) if n <= HOT_KEYS else hot
 
@@ -111,17 +107,18 @@ def fan_out_left_join(
     slices. A row goes to all cells of its own slice, so every combination of rows meets in exactly one cell, a
     cell makes about ``hot_rows`` rows, and all joins share one partitioning by ``(key, cell)``. A cell that
     misses a child its key does have is not a result and is dropped. Rows without a key are spread likewise. Keys
-    are counted in one aggregate over all sides; where none is hot, all have the single cell 0.
+    are counted in one aggregate over all sides; where none is hot, the joins are plain ones.
     """
     sides = [left, *children]
     hot = _checked(_hot_slices(sides, key, hot_rows))
+    if hot is None:
+        return reduce(lambda frame, child: frame.join(child, key, "left"), children, left)
     joined = _to_cells(left, 0, len(sides), hot, key)
     for i, child in enumerate(children, 1):
         joined = joined.join(_to_cells(child.filter(F.col(key).isNotNull()), i, len(sides), hot, key), [key, "_cell"], "left")
-    if hot is not None:
-        has = [F.coalesce(F.col(f"_has{i}"), F.lit(False)) for i in range(1, len(sides))]
-        hits = [F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(1, len(sides))]
-        joined = joined.filter(reduce(lambda a, b: a & b, [~has_ | hit for has_, hit in zip(has, hits, strict=True)]))
+    has = [F.coalesce(F.col(f"_has{i}"), F.lit(False)) for i in range(1, len(sides))]
+    hits = [F.coalesce(F.col(f"_hit{i}"), F.lit(False)) for i in range(1, len(sides))]
+    joined = joined.filter(reduce(lambda a, b: a & b, [~has_ | hit for has_, hit in zip(has, hits, strict=True)]))
     wanted = left.columns + [c for child in children for c in child.columns if c != key]
     return joined.select(*wanted)
 
@@ -130,7 +127,10 @@ def _hot_slices(sides: Sequence[DataFrame], key: str, hot_rows: int) -> DataFram
     """For keys whose product of rows is beyond ``hot_rows``: slices per side, and which sides have the key."""
     tagged = reduce(
         DataFrame.unionByName,
-        [s.filter(F.col(key).isNotNull()).select(F.col(key), F.lit(i).alias("_side")) for i, s in enumerate(sides)],
+        [
+            (s.filter(F.col(key).isNotNull()) if i else s).select(F.col(key), F.lit(i).alias("_side"))
+            for i, s in enumerate(sides)
+        ],
     )
     n = len(sides)
     rows = [F.col(f"_rows{i}") for i in range(n)]
@@ -150,12 +150,10 @@ def _hot_slices(sides: Sequence[DataFrame], key: str, hot_rows: int) -> DataFram
     )
 
 
-def _to_cells(side: DataFrame, index: int, n: int, hot: DataFrame | None, key: str) -> DataFrame:
+def _to_cells(side: DataFrame, index: int, n: int, hot: DataFrame, key: str) -> DataFrame:
     """Rows of a side with the cells they belong to: own slice fixed, every slice of the other sides."""
     frame = side.withColumn("_spread", _spread(side))
     marks = [F.lit(True).alias(f"_hit{index}")] if index else []
-    if hot is None:
-        return frame.select(*side.columns, _placed(F.lit(0), [key]).alias("_cell"), *marks)
     slices = [F.coalesce(F.col(f"_slices{i}"), F.lit(1)) for i in range(n)]
     cell, step = F.lit(0), F.lit(1)
     frame = frame.join(hot, key, "left")
