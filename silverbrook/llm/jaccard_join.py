@@ -27,11 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keyed import lookup_left_join
 from . import common
 
 SIZE, PERCENT = 4, 85
 #: Shingles and sets of one slice of a group.
 SLICE_SHINGLES, SLICE_SETS = 400_000, 8_000
+#: Rows of one class of equal sets, or of its representative, from which a lookup cuts it into slices.
+HOT_ROWS = 200_000
 #: Weight of a binary probe against a merge step in DivideSkip's choice of long lists.
 PROBE_WEIGHT = 0.05
 
@@ -193,9 +196,9 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     named = sets.where("n > 0 and doc_id is not null")
     classes = named.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"))
     copied = classes.where("size > 1")
+    # A class, and later a component, may own much of all rows: these lookups spread hot keys.
     members = common.written(
-        sets.select("doc_id", "n", "s1", "s2")
-        .join(copied, ["s1", "s2", "n"], "left")
+        lookup_left_join(sets.select("doc_id", "n", "s1", "s2"), copied, ["s1", "s2", "n"], HOT_ROWS)
         .select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"),
                 F.coalesce("size", F.lit(1)).alias("size")),
         "jaccard-members",
@@ -260,7 +263,7 @@ def jaccard_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     known = labels.withColumnRenamed("node", "rep").join(links, "rep", "left")
     return (
-        members.join(known, "rep", "left")
+        lookup_left_join(members, known, ["rep"], HOT_ROWS)
         .select(
             "doc_id",
             F.col("n").alias("n_shingles"),
