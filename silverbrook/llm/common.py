@@ -14,8 +14,10 @@ from pyspark.sql import types as T
 
 from ..session import fresh_path, ship_package
 
-#: Sides of a join with at most so many ids (8 bytes each) are broadcast; larger ones are shuffled.
-BROADCAST_IDS = 4_000_000
+#: Sides of a join with at most so many ids (some 80 bytes each once built) are broadcast; larger ones are shuffled.
+BROADCAST_IDS = 1_000_000
+#: Rows and bytes of text in one Arrow batch: long texts must not add up in a Python worker or beside the heap.
+BATCH_ROWS, BATCH_BYTES = 4_000, 16 << 20
 #: Texts are worked through in slices of about so many bytes, whatever the size of an Arrow batch.
 SLICE_BYTES = 8 << 20
 
@@ -24,13 +26,20 @@ _SEPARATORS = [b for b in range(0x80) if not (0x30 <= b <= 0x39 or 0x41 <= b <=
 _WORD_BYTES = bytes(0x20 if b in _SEPARATORS else b + 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     ship_package(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: reused results survive lost executors, lineage ends here."""
+    bounded_batches(df.sparkSession)
     path = fresh_path(df.sparkSession, label)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
