@@ -10,10 +10,8 @@ import pyarrow as pa
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Distinct words remembered by one Python worker; the memory is emptied when full.
-REMEMBERED = 600_000
-#: Texts may be cut here: the tokenizer drops white space, and NFC never joins characters across it.
-_CUTS = re.compile(r"[ \t\n\r]+")
+#: Distinct words, and distinct pieces, one generation of a Python worker's memory holds; two are kept.
+REMEMBERED = 350_000
 #: Words whose pieces are plain to see: Latin-1 without control characters, which NFC leaves as they are.
 _PLAIN = re.compile(r"[!-~\xa1-\xac\xae-\xff]+")
 #: The tokenizer's own pieces within such a word, once lower-cased (fixed by the tokenizer's file).
@@ -29,11 +27,32 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Memory(dict):
+    """Values by key, made when first asked for; what was not asked for in a whole generation is forgotten."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    A text's ids are the joined ids of its parts between spaces, so each distinct word goes to the tokenizer once
-    and is remembered. Pieces of plain words go straight to the tokenizer's model; any other word takes the whole
+    The tokenizer drops white space and normalises to NFC, which never joins characters across it. So a text's ids
+    are the joined ids of its parts between spaces, tabs and line ends, and a distinct word goes to the tokenizer
+    once and is remembered. Pieces of plain words go straight to the tokenizer's model; any other word takes the whole
     tokenizer. Strings that look like special tokens are ordinary text.
     """
 
@@ -47,37 +66,29 @@ class WordEncoder:
         self.letters = _byte_letters()
         size = self.tokenizer.get_vocab_size()
         self.packed = [number.tobytes() for number in np.arange(size, dtype="<u4")]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Memory(self._word, REMEMBERED)
+        self.pieces = _Memory(self._piece, REMEMBERED)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            seen = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-            found = b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(seen)])
-            self.pieces[piece] = found
-        return found
+        seen = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(seen)])
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
-            return self._piece(word.lower())
+            return self.pieces[word.lower()]
         if _PLAIN.fullmatch(word):
-            return b"".join(map(self._piece, _PIECES.findall(word.lower())))
+            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id; a null text has the end id alone."""
         end = np.uint32(END_ID).tobytes()
-        for kept in (self.words, self.pieces):
-            if len(kept) > REMEMBERED:
-                kept.clear()
-        out = []
+        out, ids = [], self.words.__getitem__
         for text in texts:
-            parts = _CUTS.split(text) if text else []
-            for word in set(parts):
-                if word not in self.words:
-                    self.words[word] = self._word(word)
-            out.append(b"".join(map(self.words.__getitem__, parts)) + end)
+            self.words.turn()
+            self.pieces.turn()
+            parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            out.append(b"".join(map(ids, parts)) + end)
         return out
 
 
