@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import frames as fr
 from ..plans import marts
@@ -276,9 +275,7 @@ register(
 )
 register(
     "a36_freshness",
-    lambda f: f.mart.filter(F.col("booking_date").isNotNull())
-    .groupBy(F.date_format("booking_date", "yyyy-MM").alias("month"))
-    .agg(F.count("booking_id").alias("records"), F.max("booking_date").alias("latest")),
+    lambda f: marts.freshness(f.mart),
     """SELECT strftime(booking_date, '%Y-%m') AS month, count(booking_id) AS records, max(booking_date) AS latest
        FROM f_serving WHERE booking_date IS NOT NULL GROUP BY 1""",
 )

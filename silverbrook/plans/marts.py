@@ -231,6 +231,14 @@ def _revenue() -> Column:
     return F.coalesce(money_sum("payment_amount", 2), F.lit(0.0))
 
 
+def freshness(df: DataFrame) -> DataFrame:
+    """Records and the latest day of each month; rows without a date belong to none."""
+    dated = df.filter(F.col("booking_date").isNotNull())
+    return dated.groupBy(F.date_format("booking_date", "yyyy-MM").alias("month")).agg(
+        F.count("booking_id").alias("records"), F.max("booking_date").alias("latest")
+    )
+
+
 def daily_distinct(df: DataFrame, *, filters: Filters = None) -> DataFrame:
     """A21."""
     return _explore(df, ["booking_date"], {"bookings": F.count_distinct("booking_id"), "revenue": _revenue()}, filters)
