@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -10,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import fresh_path, ship_package
 
@@ -81,11 +79,6 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
             yield batch.slice(start, end - start)
 
 
-def map_rows(df: DataFrame, function, schema: T.StructType) -> DataFrame:
-    """``mapInArrow`` with ``function(batches) -> batches``."""
-    return df.mapInArrow(function, schema)
-
-
 def labelled(labels: DataFrame, label: str) -> DataFrame:
     """One 0/1 label a document: the mean of repeated labels, 1 from one half on; null labels and ids are dropped."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -123,6 +116,3 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         pairs.select("v", "v").distinct()
     )
-
-
-SPACES = re.compile(r"[\x20\x09-\x0D]+")
