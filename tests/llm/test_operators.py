@@ -274,6 +274,25 @@ def test_ordinal_thresholds_stay_ordered_and_share_weights():
     assert np.corrcoef(severity, grades)[0, 1] > 0.8
 
 
+def test_copies_of_a_toxic_text_displace_no_telling_word(spark):
+    rows, labels = labelled_rows()
+    long = " ".join(f"own{k}" for k in range(400))
+    copies = [(i, long) for i in range(2000, 2300)]
+    docs = frame(spark, rows + copies + copies[:9] * 3)
+    known = spark.createDataFrame(labels + [(i, 1, 1) for i, _ in copies], LABELS)
+    assert set(toxicity.fit(docs, known).words) == {b"vilething", b"nastyword"}
+    truth = {i: t for i, _, t in labels}
+    found = by_id(toxicity.toxicity_scores(docs, known), "_predicted")
+    assert np.mean([found[i][0] == t for i, t in truth.items()]) > 0.95
+
+
+def test_every_word_with_evidence_is_a_feature(spark):
+    telling = [f"vile{k}" for k in range(300)]
+    rows = [(i, f"plain text {i} " + (" ".join(telling) if i % 2 else "")) for i in range(100)]
+    known = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], LABELS)
+    assert set(toxicity.fit(frame(spark, rows), known).words) == {w.encode() for w in telling}
+
+
 # Operator 4: Jaccard join.
 
 
