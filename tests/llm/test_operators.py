@@ -209,6 +209,22 @@ def test_boilerplate_of_a_host_goes_whatever_the_slices(spark, monkeypatch, slic
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("slice_tokens", [150, 60])
+def test_runs_on_several_pages_of_a_slice_cover_those_of_other_slices(spark, monkeypatch, slice_tokens):
+    # Each run stands on three or four pages, so slices hold 2+1, 3+1 and 2+2 of them.
+    runs = [" ".join(f"run{k}w{j}" for j in range(7)) for k in range(8)]
+    blocks = {i: [runs[k] for k in range(8) if (i * 5 + k * 3) % 12 < 3 + k % 2] for i in range(12)}
+    assert {sum(r in b for b in blocks.values()) for r in runs} == {3, 4}
+    rows = [
+        (i, "http://a.example/", "".join(f"<div>{b}</div>" for b in [f"own{i} is the text of page{i} and no other", *found]))
+        for i, found in blocks.items()
+    ]
+    monkeypatch.setattr(html_text, "SLICE_TOKENS", slice_tokens)
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    assert got == {i: f"own{i} is the text of page{i} and no other" for i in range(12)}
+
+
 # Operators 3 and 9: classifiers.
 
 
