@@ -173,6 +173,30 @@ def test_blocks_follow_markup():
     assert html_text.blocks_of("<!-- <p>x</p> -->a < b<!-- open") == [(False, "a < b")]
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>x</title><body><article><p>text</p></article>", [(True, "text")]),
+        ("<head><meta charset=x><title>x</title><p>text</p>", [(False, "text")]),
+        ("<head><title>x</title>loose<p>text</p>", [(False, "loose"), (False, "text")]),
+        ("<head-line>text</head-line>", [(False, "text")]),
+        ('<svg width="1"/><p>rest</p>', [(False, "rest")]),
+        ("<svg><text>x</text></svg><p>rest</p>", [(False, "rest")]),
+        ("<article><iframe src=x><p>a</p><select><p>b</p><object><p>c</p></article>", [(True, "a"), (True, "b"), (True, "c")]),
+        ("<select><option>a<p>b</p><select><option>x</select><p>c</p>", [(False, "a"), (False, "b"), (False, "c")]),
+        ("<p>a</p><script>var t = 1; <p>no", [(False, "a")]),
+        ('<div class="site has-sidebar"><article>text</article></div>', [(True, "text")]),
+        ('<article class="no-comments"><p>text</p></article>', [(True, "text")]),
+        ('<div class="sidebar"><article>text</article></div>', [(True, "text")]),
+        ('<article>text<div class="comments-area"><article>no</article></div></article>', [(True, "text")]),
+        ('<article>text</article><div class="related"><article>no</article></div>', [(True, "text")]),
+        ('<nav><article>no</article></nav><div class="site-header">no</div><ul class="comment-list"><li>no</ul>', []),
+    ],
+)
+def test_markup_cuts_no_article(page, want):
+    assert html_text.blocks_of(page) == want
+
+
 def covered_by_brute(streams, pages, run):
     windows = {}
     for s, p in zip(streams, pages, strict=True):
