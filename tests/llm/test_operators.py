@@ -249,6 +249,24 @@ def test_runs_on_several_pages_of_a_slice_cover_those_of_other_slices(spark, mon
     assert got == {i: f"own{i} is the text of page{i} and no other" for i in range(12)}
 
 
+def test_copies_and_shared_phrases_keep_their_text(spark):
+    quoted = "to be or not to be that is"
+    rows = [(i, "http://copies.example/", "<div>one text that many rows of this host repeat</div><p>Home") for i in range(20)]
+    rows += [(20, "http://two.example/", f"<p>first page says {quoted}"), (21, "http://two.example/", f"<p>second has {quoted}")]
+    own = {i: f"page{i} alone tells of thing{i}" for i in range(30, 60)}
+    shared = "all pages of this host have this line"
+    rows += [(i, "http://big.example/", f"<div>{shared}</div><p>{o}" + (f"<p>{quoted}" if i < 33 else "")) for i, o in own.items()]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    found = html_text.extract_text(pages)
+    assert found.columns == ["page_id", "url", "text"]
+    got = {r.page_id: r.text for r in found.collect()}
+    assert got == (
+        {i: "one text that many rows of this host repeat Home" for i in range(20)}
+        | {20: f"first page says {quoted}", 21: f"second has {quoted}"}
+        | {i: o + (f" {quoted}" if i < 33 else "") for i, o in own.items()}
+    )
+
+
 # Operators 3 and 9: classifiers.
 
 
