@@ -1,7 +1,7 @@
 """Licence notices in documents by an exact containment join with templates (operator 8).
 
 Everything is DataFrame functions. One pass over the texts splits words, places the base phrases and keeps, of the
-few documents that hold enough of a template's words at all, the template words of each block (a line or sentence).
+few documents that hold enough of a template's words at all, the template words of each block (a sentence of a paragraph).
 Template words are then ordered by their frequency over all documents, rarest first, and blocks meet templates by
 prefix, length and position filters before the exact overlap is counted. Templates are a fixed short list, so they
 are literals and the join needs no shuffle.
@@ -34,7 +34,8 @@ TEMPLATES = (
 CONTAINMENT = 0.8
 
 _SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_BLOCK_END = r"[\n\r]+|[.!?;]\s+"
+# A line without a word ends a paragraph; a single line break, which may be a wrapped notice's, ends nothing.
+_BLOCK_END = r"(?>\r\n|[\n\r])[\x00-\x09\x0B\x0C\x0E-\x2F\x3A-\x60\x7B-\x7F]*[\n\r]|[.!?;]\s+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -504,6 +504,18 @@ def test_license_scan(docs, odd):
     assert license_scan.scan_licenses(odd.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+        " the following\nconditions are met:"
+    )
+    mit = "Permission is hereby granted, free of\ncharge, to any person obtaining\na copy of this software and"
+    rows = [(0, bsd), (1, mit), (2, mit.replace("\n", "\r\n")), (3, "/*\n * " + bsd.replace("\n", "\n * ") + "\n */")]
+    rows += [(4, mit.replace("free of\n", "free of\n\n").replace("\na copy", "\n *\n a copy")), (5, bsd.replace(" ", "\n"))]
+    got = {r.doc_id: r.labels for r in license_scan.scan_licenses(frame(spark, rows)).collect()}
+    assert got == {0: "bsd", 1: "mit", 2: "mit", 3: "bsd", 4: "", 5: "bsd"}
+
+
 # Operator 10: neighbours.
 
 
