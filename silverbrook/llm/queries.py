@@ -15,10 +15,13 @@ from . import (
     license_scan,
     neighbours,
     packing,
+    prefix_trie,
     quality,
+    secret_scan,
     token_files,
     toxicity,
     url_filter,
+    whitening,
 )
 from .common import table
 
@@ -74,11 +77,25 @@ def op10_neighbours(spark: SparkSession, data_dir: str) -> DataFrame:
     return neighbours.search(table(spark, data_dir, "embeddings"))
 
 
+def op11_whitening(spark: SparkSession, data_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, data_dir, "embeddings"))
+
+
+def op12_secret_scan(spark: SparkSession, data_dir: str) -> DataFrame:
+    docs = table(spark, data_dir, "documents").select("doc_id", "text")
+    return secret_scan.digest_columns(secret_scan.find_secrets(docs).drop("text"))
+
+
+def op13_prefix_trie(spark: SparkSession, data_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, data_dir, "conversations")).drop("digest", "parent")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing, op2_html_text, op3_quality, op4_jaccard_join, op5_token_files, op6_url_filter,
         op7_decontamination, op8_license_scan, op9_toxicity, op10_neighbours,
+        op11_whitening, op12_secret_scan, op13_prefix_trie,
     )
 }
 
@@ -86,6 +103,43 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 #: Words of the contract, as DuckDB's regular expressions spell them.
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit: each character is followed by seven steps without one."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda s: [ascii(s), 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, CAST({bits} AS BIGINT[])), lambda a, b: {step}))"
+
+
+def _found(kind: str, pattern: str, keep: str) -> str:
+    """``doc_id, start, rank, kind, end`` of a kind's matches ``m``: marked in the text, which is then cut at the marks."""
+    mark, pieces = "chr(57344)", "string_split(marked, chr(57344))"
+    before = "coalesce(list_sum(list_transform(cut[:i - 1], lambda p: length(p))), 0)"
+    return f"""
+  SELECT doc_id, row_id, CAST({before} AS BIGINT) AS first, {list(secret_scan.KINDS).index(kind)} AS rank, '{kind}' AS kind,
+         CAST({before} + length(m) AS BIGINT) AS past
+  FROM (SELECT *, cut[i] AS m FROM (
+    SELECT *, unnest(range(2, len(cut) + 1, 2)) AS i FROM (
+      SELECT doc_id, row_id, {pieces} AS cut FROM (
+        SELECT doc_id, row_id, regexp_replace(t, '({pattern})', {mark} || '\\1' || {mark}, 'g') AS marked FROM texts))))
+  WHERE {keep}"""
+
+
+_ASSIGNED = "|".join(
+    "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    for word in ("password", "passwd", "secret", "token", "apikey", "api_key")
+)
+_ASSIGN = f"""({_ASSIGNED})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+#: Six base 62 digits as a number.
+_CHECK = "list_reduce(list_prepend(0, list_transform(string_split({}, ''), lambda s: CAST(strpos('{}', s) - 1 AS BIGINT))), lambda a, b: a * 62 + b)"
+
+
+def _checked(prefix: int) -> str:
+    body, check = f"substr(m, {prefix + 1}, 30)", f"substr(m, {prefix + 31}, 6)"
+    return f"CASE WHEN length(m) = {prefix + 36} THEN {_crc32(body)} = {_CHECK.format(check, _BASE62)} ELSE false END"
+
+
 ORACLES: dict[str, str] = {
     "op4_jaccard_join": f"""
 WITH RECURSIVE worded AS (
@@ -167,4 +221,48 @@ SELECT doc_id, len(docs.w) AS n_words, coalesce(n, 0) AS n_base, first AS first_
        array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ',') AS labels,
        CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
 FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)""",
+    "op12_secret_scan": f"""
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS row_id, translate(coalesce(text, ''), chr(57344), chr(57345)) AS t FROM documents),
+found AS ({" UNION ALL ".join([
+    _found("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"),
+    _found("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    _found("hex", "[0-9a-f]+", "length(m) >= 24"),
+    _found("github", "gh[pousr]_[0-9A-Za-z]+", _checked(4)),
+    _found("npm", "npm_[0-9A-Za-z]+", _checked(4)),
+])}),
+spans AS (
+  SELECT row_id, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || first || ':' || past, ',' ORDER BY first, rank) AS every,
+         string_agg(kind || ':' || first || ':' || past, ',' ORDER BY first, rank) FILTER (rank < 3) AS base
+  FROM found GROUP BY row_id)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM texts LEFT JOIN spans USING (row_id)""",
+    "op13_prefix_trie": f"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(struct_pack(r := r, x := x) ORDER BY turn NULLS FIRST, r, sha256(length(r) || ':' || r || x)) AS p
+  FROM turns GROUP BY c),
+heads AS (SELECT c, p, {_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM own),
+made AS (
+  SELECT o.c, list_concat(coalesce(b.p, [])[1:o.h], o.p[o.h + 1:]) AS p
+  FROM heads o LEFT JOIN own b ON b.c = o.c - o.c % 100),
+nodes AS (
+  SELECT p[1:d] AS k, d, min(c) AS conv, count(*) AS n, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(p) = d) AS ends
+  FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM made) GROUP BY ALL),
+children AS (SELECT k[1:d - 1] AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+owned AS (
+  SELECT nodes.k, d, CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf,
+         CASE WHEN d = 0 THEN 0 ELSE (nodes.n - 1) * length(nodes.k[d].x) END AS saved
+  FROM nodes LEFT JOIN children USING (k)),
+below AS (
+  SELECT k[1:j] AS k, sum(leaf) AS leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS j FROM owned) GROUP BY ALL)
+SELECT n.conv AS conv_id, n.d AS depth, up.conv AS parent_conv_id, n.n AS n_convs, coalesce(children.n, 0) AS n_children,
+       CAST(below.leaves AS BIGINT) AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below USING (k) LEFT JOIN children USING (k)
+LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.k = n.k[1:n.d - 1]""",
 }
