@@ -27,7 +27,7 @@ from . import common
 
 #: A group is peeled in one task while it has at most this share of all turns, and at most so many turns; groups of no
 #: more than the least are never split.
-GROUP_SHARE, GROUP_MOST, GROUP_LEAST = 1 / 64, 1 << 16, 1 << 10
+GROUP_SHARE, GROUP_MOST, GROUP_LEAST = 1 / 64, 1 << 16, 1 << 8
 #: Turns a task peels at once, in whole groups.
 CHUNK_TURNS = 1 << 17
 #: Bytes of joined ids in one piece of a node's list of ended conversations.
