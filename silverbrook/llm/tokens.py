@@ -53,7 +53,8 @@ class WordEncoder:
     The tokenizer drops white space and normalises to NFC, which never joins characters across it. So a text's ids
     are the joined ids of its parts between spaces, tabs and line ends, and a distinct word goes to the tokenizer
     once and is remembered. Pieces of plain words go straight to the tokenizer's model; any other word takes the whole
-    tokenizer. Strings that look like special tokens are ordinary text.
+    tokenizer, as do words with ``<|``: the file's added tokens (``<|startoftext|>``, ``<|endoftext|>``) hold no white
+    space and are ids of their own wherever their strings stand, glued to other text or not.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -62,7 +63,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
         self.letters = _byte_letters()
         size = self.tokenizer.get_vocab_size()
         self.packed = [number.tobytes() for number in np.arange(size, dtype="<u4")]
@@ -76,7 +76,7 @@ class WordEncoder:
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isalpha():
             return self.pieces[word.lower()]
-        if _PLAIN.fullmatch(word):
+        if _PLAIN.fullmatch(word) and "<|" not in word:
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 

@@ -29,9 +29,7 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def encoded(texts):
