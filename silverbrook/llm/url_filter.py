@@ -2,9 +2,10 @@
 
 A rule is a host and a path beginning, written ``host/path``. The list is one file: a header of counts, the sorted
 64-bit xxhash digests of the rules, the offsets of their strings and verdicts, and the strings. Spark hands the file
-to every executor, whose Python workers map it into memory and share its pages. A URL asks for every host suffix with
-every path beginning of a length some rule has; all digests of a batch are probed by one vectorised binary search,
-and a probe that lands is confirmed against the stored string, so a collision never judges.
+to every executor, whose Python workers map it into memory and share its pages. A URL asks for every host suffix of as
+many labels as some rule has, with every path beginning of a length some rule has; all digests of a batch are probed by
+one vectorised binary search, and a probe that lands is confirmed against the stored string, so a collision never
+judges. What a URL asks for is bounded by the rules, however long its host and path are.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def array_bytes(rules: Iterable[tuple[str, str, str]]) -> bytes:
     offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype("<i8")
     blocked = np.array([verdicts[k] == BLOCK for k in keys], dtype=np.uint8)
     paths = sorted({len(k.decode("utf-8", "surrogatepass").partition("/")[2]) + 1 for k in keys})
-    head = np.array([len(keys), len(paths), *paths], dtype="<i8")
+    labels = sorted({k.decode("utf-8", "surrogatepass").partition("/")[0].count(".") + 1 for k in keys})
+    head = np.array([len(keys), len(paths), len(labels), *paths, *labels], dtype="<i8")
     return b"".join([head.tobytes(), digests[order].astype("<u8").tobytes(), offsets.tobytes(), b"".join(keys), blocked.tobytes()])
 
 
@@ -62,9 +64,11 @@ class DigestArray:
 
     def __init__(self, path: str):
         raw = np.memmap(path, dtype=np.uint8, mode="r")
-        n, lengths = (int(x) for x in raw[:16].view("<i8"))
-        at = 16 + 8 * lengths
-        self.lengths = raw[16:at].view("<i8").tolist()
+        n, lengths, labels = (int(x) for x in raw[:24].view("<i8"))
+        at = 24 + 8 * lengths
+        self.lengths = raw[24:at].view("<i8").tolist()
+        self.labels = raw[at : at + 8 * labels].view("<i8").tolist()
+        at += 8 * labels
         self.digests = raw[at : at + 8 * n].view("<u8")
         at += 8 * n
         self.offsets = raw[at : at + 8 * (n + 1)].view("<i8")
@@ -88,12 +92,15 @@ class DigestArray:
         return out
 
 
-def _candidates(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Rule strings that would fit, longest first; equally long ones in string order."""
-    if not host or not path.startswith("/"):
+def _candidates(host: str, path: str, lengths: list[int], labels: list[int]) -> list[str]:
+    """Rule strings that would fit, longest first; equally long ones in string order.
+
+    ``lengths`` and ``labels`` are the path lengths and label counts that rules have, in rising order.
+    """
+    if not host or not labels or not path.startswith("/"):
         return []
-    labels = host.split(".")
-    hosts = [".".join(labels[i:]) for i in range(len(labels))]
+    parts = host.rsplit(".", labels[-1])
+    hosts = [".".join(parts[-k:]) for k in labels if k <= len(parts)]
     found = {h + path[:n] for h in hosts if h for n in lengths if n <= len(path)}
     return sorted(found, key=lambda k: (-len(k), k))
 
@@ -126,7 +133,7 @@ def judge(pages: DataFrame, rules: Iterable[tuple[str, str, str]] = RULES, defau
         for batch in batches:
             asked, owner = [], []
             for i, (host, path) in enumerate(zip(batch.column(at).to_pylist(), batch.column(at + 1).to_pylist(), strict=True)):
-                keys = _candidates(host, path, array.lengths)
+                keys = _candidates(host, path, array.lengths, array.labels)
                 asked += [k.encode("utf-8", "surrogatepass") for k in keys]
                 owner += [i] * len(keys)
             places = array.find(asked)
