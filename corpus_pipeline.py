@@ -31,19 +31,9 @@ def drop_poor(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates: five-word shingles, similarity 0.8.
 
-    Of rows that share that id one stays; rows without an id link with nothing and stay.
+    Documents go for their texts, never for an id they share; see ``without_near_duplicates``.
     """
-    found = jaccard_join.jaccard_components(docs, size=5, percent=80)
-    gone = common.written(found.where("doc_id <> component_id").select("doc_id").distinct(), "near-duplicates")
-    repeated = common.written(
-        docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids"
-    )
-    kept = common.with_bounded_side(docs, gone, "doc_id", "left_anti")
-    if repeated.limit(1).count() == 0:
-        return kept.select(*docs.columns)
-    single = common.with_bounded_side(kept, repeated, "doc_id", "left_anti")
-    several = common.with_bounded_side(kept, repeated, "doc_id", "left_semi")
-    return single.select(*docs.columns).union(several.dropDuplicates(["doc_id"]).select(*docs.columns))
+    return jaccard_join.without_near_duplicates(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, data_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Every operator on awkward rows, against plain re-computations."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -136,6 +137,9 @@ def test_encoder_equals_the_tokenizer():
     draw = random.Random(3)
     letters = "aAbZ 'sT\n\té´ßÿ×9½\x85\xa0\u0301Σ中.*-_&;"
     some = ["".join(draw.choice(letters) for _ in range(40)) for _ in range(500)] + [t for _, t in ROWS]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|", "|>", "<", "a", "Zé", " ", "endoftext", "\u0301", "9", "<|ENDOFTEXT|>"]
+    some += ["".join(draw.choice(parts) for _ in range(12)) for _ in range(500)]
+    some += ["a <|endoftext|> b", "a<|endoftext|>b", "<|startoftext|><|endoftext|>", "x<|startoftext|>.", "<|endoftext|"]
     encode = tokens.WordEncoder()
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(some)] == brute.encoded(some)
 
@@ -389,6 +393,47 @@ def test_jaccard_join_on_awkward_rows(docs, odd):
     assert jaccard_join.jaccard_components(odd.limit(0)).count() == 0
 
 
+def test_repeated_rows_and_shared_ids_link_as_their_texts_do(spark):
+    """Far neighbours of repeated rows, one id on linked and on unrelated texts; checked row by row."""
+    a = [f"a{i}" for i in range(100)]
+    far, near = a[:91] + [f"z{i}" for i in range(9)], a[:99] + ["z"]
+    other, other_near = [f"y{i}" for i in range(60)], [f"y{i}" for i in range(59)] + ["q"]
+    third = [f"x{i}" for i in range(50)]
+    texts = {k: " ".join(v) for k, v in dict(a=a, far=far, near=near, other=other, other_near=other_near, third=third).items()}
+    rows = [
+        (1, "a"), (1, "a"), (2, "far"), (3, "a"), (7, "a"), (7, "other"), (9, "other_near"), (9, "other_near"), (4, "third"),
+        (4, "near"), (5, "third"), (7, "other"), (11, None), (11, "far"), (12, None), (12, None), (None, "a"), (None, "a"),
+    ]
+    rows = [(i, texts.get(name)) for i, name in rows] + list(enumerate((texts["far"],) * 30, 100))
+    found = jaccard_join.jaccard_components(frame(spark, rows)).collect()
+    known = [(at, i, t) for at, (i, t) in enumerate(rows) if i is not None]
+    plain = brute.jaccard([(at, t) for at, _, t in known])
+    least = {}
+    for at, i, _ in known:
+        least[plain[at][1]] = min(i, least.get(plain[at][1], i))
+    want = [(i, plain[at][0], least[plain[at][1]], plain[at][2]) for at, i, _ in known]
+    want += [(None, plain[0][0], None, 0)] * 2
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
+
+
+def test_near_duplicates_go_for_their_texts_and_not_for_their_ids(spark):
+    a, b = [f"a{i}" for i in range(80)], [f"b{i}" for i in range(80)]
+    near = a[:79] + ["n"]
+    rows = [
+        (1, a), (1, a), (2, near), (3, b), (3, a), (5, b), (6, ["c"] * 9), (6, ["d"] * 9), (6, ["c"] * 9), (8, []), (8, []), (8, near),
+        (None, a), (None, a), (4, [f"e{i}" for i in range(30)]), (10, [f"f{i}" for i in range(30)]), (10, [f"f{i}" for i in range(30)]),
+    ]
+    docs = frame(spark, [(i, " ".join(w)) for i, w in rows])
+    kept = jaccard_join.without_near_duplicates(docs, size=5, percent=80)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text[:2]) for r in kept.collect())
+    assert got == [
+        (False, 1, "a0"), (False, 3, "b0"), (False, 4, "e0"), (False, 6, "c "), (False, 6, "d "), (False, 8, ""), (False, 8, ""),
+        (False, 10, "f0"), (True, 0, "a0"), (True, 0, "a0"),
+    ]
+    assert jaccard_join.without_near_duplicates(docs.limit(0)).count() == 0
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 14), min_size=1), min_size=1, max_size=12))
 def test_t_occurrence_search_finds_all_partners(sets):
@@ -421,10 +466,24 @@ def test_url_candidates_hold_every_rule_that_fits(tail):
     rules = [("allow", "a", "/"), ("block", "e.a", "/e"), ("block", "a", "/1")]
     host, path, rule, _ = brute.url_verdict(f"x://{tail}", rules)
     lengths = sorted({len(p) for _, _, p in rules})
-    fitting = [k for k in url_filter._candidates(host, path, lengths) if k in {h + p for _, h, p in rules}]
+    labels = sorted({h.count(".") + 1 for _, h, _ in rules})
+    fitting = [k for k in url_filter._candidates(host, path, lengths, labels) if k in {h + p for _, h, p in rules}]
     assert (fitting[0] if fitting else None) == rule
 
 
+def test_long_hosts_and_paths_ask_for_no_more_than_short_ones(spark):
+    host, path = "a." * 100_000 + "example.org", "/en/1" + "x" * 100_000
+    began = time.perf_counter()
+    for _ in range(10):
+        asked = url_filter._candidates(host, path, [1, 4, 5], [1, 2])
+    assert time.perf_counter() - began < 0.1
+    assert asked == sorted(
+        {h + path[:n] for h in ("org", "example.org") for n in (1, 4, 5)}, key=lambda k: (-len(k), k)
+    )
+    pages = spark.createDataFrame([(1, f"http://{host}{path}"), (2, "http://" + "x." * 50_000 + "net/")], "page_id int, url string")
+    assert dict(url_filter.judge(pages).select("page_id", "rule").collect()) == {1: "example.org/en/1", 2: None}
+
+
 def test_url_judgements(spark, monkeypatch):
     urls = [
         None, "", "no host", "http://", "HTTP://WWW.Example.ORG/es/x?y", "http://example.org/es", "http://example.org/en/1",
