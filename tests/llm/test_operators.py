@@ -201,6 +201,26 @@ def test_markup_cuts_no_article(page, want):
     assert html_text.blocks_of(page) == want
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 60_000, "<div>" * 20_000 + "</span>" * 20_000, "<span>" + "<div>" * 20_000 + "</span>" * 20_000, "<a '\"" * 40_000,
+        "<a " * 60_000 + '">', "<a" * 90_000, "<!" * 90_000, "<select>" + "<select " * 20_000, "<b>" * 20_000 + "<div></div>" * 10_000,
+        "<!--" * 40_000, "<li><b>" * 20_000, "<p " + "class='x' " * 20_000 + ">", "<div class=\"a'b\" id='c\"d'>" * 8_000, "&" * 200_000,
+    ],
+)
+def test_pages_of_any_shape_take_linear_time(page):
+    def seconds(text):
+        began = time.process_time()
+        html_text.blocks_of(text)
+        return time.process_time() - began
+
+    # Twice the page takes twice the time; a square would take four times it.
+    half, whole = (min(seconds(t) for _ in range(3)) for t in (page[: len(page) // 2], page))
+    assert whole < 3.2 * half + 0.05
+    assert whole < 3
+
+
 def covered_by_brute(streams, pages, run):
     windows = {}
     for s, p in zip(streams, pages, strict=True):
