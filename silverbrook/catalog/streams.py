@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import Settings, fresh_path
 from ..sources import bridge, events, tables
-from ..streaming import ingest
+from ..streaming import ingest, stateful
 from .base import Frames, register
 from .pipeline import EVENT_ROWS
 
@@ -125,3 +125,45 @@ register(
     lambda f: _append(f, "booking").select("booking_id", "booking_date", "customer.customer_id"),
     f"SELECT b.booking_id, booking_date, customer_id FROM {EVENT_ROWS}",
 )
+
+
+def _counted(f: Frames) -> DataFrame:
+    """Half of the messages in several batches, a restart from the checkpoint, then the other half.
+
+    A booking's payments come in messages of their own, so its count grows over batches and over the restart. The
+    given bookings come in no order of their dates, so none is ever too old.
+    """
+    lake, source = _lake(f.spark), fresh_path(f.spark, "messages")
+    messages = events.to_kv(bridge.nested_events(f.spark, f.sf_dir), "booking_id")
+    for half in (0, 1):
+        part = messages.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == half)
+        part.repartition(4).write.mode("append").parquet(source)
+        stream = events.read_event_files(f.spark, source, files_per_trigger=2)
+        stateful.start_payment_counts(stream, lake, lifetime=None).awaitTermination()
+    return stateful.payment_counts(f.spark, lake)
+
+
+register(
+    "t03_stream_payment_counts",
+    _counted,
+    """SELECT booking_id, any_value(payment_count) AS payment_count, any_value(is_split_payment) AS is_split_payment,
+              CAST(sum(CAST(round(payment_amount * 100) AS BIGINT)) AS BIGINT) AS total_cents
+       FROM f_payments GROUP BY booking_id""",
+)
+
+
+def _deduplicated(f: Frames) -> DataFrame:
+    """Every message twice, the second time in other files and batches; each booking's date is its message's time."""
+    lake, source = _lake(f.spark), fresh_path(f.spark, "doubled")
+    messages = events.to_kv(bridge.nested_events(f.spark, f.sf_dir), "booking_id")
+    booked = F.to_timestamp(F.get_json_object("value", "$.booking_date"))
+    timed = messages.withColumn("timestamp", F.coalesce(booked, F.lit("1970-01-01").cast("timestamp")))
+    for files in (3, 5):
+        # As a stream brings them: a file holds messages of neighbouring days.
+        timed.repartitionByRange(files, "timestamp").write.mode("append").parquet(source)
+    stream = events.read_event_files(f.spark, source, files_per_trigger=3, timed=True)
+    ingest.finish(stateful.start_deduplicated(stream, lake, delay="20000 days"))
+    return _sizes(f, lake)
+
+
+register("t05_stream_deduplicated", _deduplicated, SIZES_SQL)

@@ -31,10 +31,13 @@ def read_events(spark: SparkSession, settings: Settings) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_options(settings)).load()
 
 
-def read_event_files(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
-    """Message files (``key``/``value`` Parquet) as a stream: replays from the earliest file on."""
+def read_event_files(spark: SparkSession, path: str, files_per_trigger: int = 64, timed: bool = False) -> DataFrame:
+    """Message files (``key``/``value`` Parquet) as a stream: replays from the earliest file on.
+
+    ``timed`` files also hold each message's ``timestamp``.
+    """
     return (
-        spark.readStream.schema("key string, value string")
+        spark.readStream.schema("key string, value string" + (", timestamp timestamp" if timed else ""))
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("ignoreMissingFiles", "true")
         .parquet(path)

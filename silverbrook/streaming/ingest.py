@@ -134,9 +134,12 @@ def start_upsert(
     return _foreach(df, write, checkpoint)
 
 
-def _foreach(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def _foreach(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
     return (
         df.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
