@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import frames as fr
-from ..plans import marts
-from .base import register
+from ..plans import marts, sketches
+from ..session import fresh_path
+from .base import Frames, register
 
 REVENUE0 = "round(CAST(sum(CAST(round(payment_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0, 0)"
 REVENUE2 = "coalesce(round(CAST(sum(CAST(round(payment_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0, 2), 0)"
@@ -285,3 +290,64 @@ register(
     f"""SELECT column_name, null_count, round(null_count * 100.0 / n, 2) AS null_pct, distinct_count
         FROM ({_profile_sql("count(*) - count({c}) AS null_count, count(*) AS n, count(DISTINCT {c}) AS distinct_count")})""",
 )
+
+
+# -- marts from stored sketches --------------------------------------------------------------------------------------
+# Sums are exact; an estimate is compared with the exact count it stands for.
+CLOSE = 0.03
+
+
+def _stored(f: Frames) -> str:
+    path = fresh_path(f.spark, "sketches")
+    sketches.store(sketches.daily_sketches(f.mart), path)
+    return path
+
+
+def _close(found: DataFrame, exact: DataFrame, keys: list[str], counts: list[str], sums: list[str]) -> DataFrame:
+    truth = exact.select(*[F.col(c).alias(f"_{c}") for c in [*keys, *counts]])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], F.lit(True))
+    near = [(F.abs(F.col(c) - F.col(f"_{c}")) <= CLOSE * F.col(f"_{c}")).alias(f"{c}_close") for c in counts]
+    return found.join(truth, same).select(*keys, *sums, *near)
+
+
+KPI_COUNTS = ["total_customers", "unique_routes", "car_segments", "car_models"]
+KPI_SUMS = ["total_bookings", "total_revenue", "high_value_customers", "digital_payments"]
+
+
+def _kpi_sketched(f: Frames, days: int | None = None) -> DataFrame:
+    """Headline numbers read from the stored sketches alone."""
+    as_of = None if days is None else f.last_day
+    found = sketches.kpi_summary(sketches.window(f.spark, _stored(f), days, as_of))
+    recent = f.mart if days is None else f.mart.filter(F.col("booking_date") >= F.date_sub(f.last_day, days))
+    return _close(found, marts.kpi_summary(recent), [], KPI_COUNTS, KPI_SUMS)
+
+
+def _kpi_sql(where: str = "") -> str:
+    return f"""SELECT count(*) AS total_bookings, {REVENUE0} AS total_revenue,
+                      {true_count('is_high_value_customer')} AS high_value_customers,
+                      {true_count('is_digital_payment')} AS digital_payments,
+                      {", ".join(f"TRUE AS {c}_close" for c in KPI_COUNTS)} FROM f_serving {where}"""
+
+
+register("a01_sketched", _kpi_sketched, _kpi_sql())
+register("a01_sketched_90d", lambda f: _kpi_sketched(f, 90), _kpi_sql(f"WHERE booking_date >= {LAST_DAY} - 90"))
+register(
+    "a13_sketched",
+    lambda f: _close(
+        sketches.loyalty_value(sketches.window(f.spark, _stored(f))), marts.loyalty_value(f.mart), ["loyalty_tier"],
+        ["customers"], ["bookings", "avg_points", "high_value_count", "avg_payment"],
+    ),
+    f"""SELECT loyalty_tier, count(*) AS bookings, {avg_whole('loyalty_points', 0)} AS avg_points,
+               {true_count('is_high_value_customer')} AS high_value_count, {AVG0} AS avg_payment, TRUE AS customers_close
+        FROM f_serving GROUP BY loyalty_tier""",
+)
+register(
+    "a19_sketched",
+    lambda f: _close(
+        sketches.overall_summary(sketches.window(f.spark, _stored(f))), marts.overall_summary(f.mart), [],
+        ["unique_customers", "unique_routes"], ["total_bookings", "total_revenue", "high_value_customers"],
+    ),
+    f"""SELECT count(*) AS total_bookings, {REVENUE0} AS total_revenue,
+               {true_count('is_high_value_customer')} AS high_value_customers,
+               TRUE AS unique_customers_close, TRUE AS unique_routes_close FROM f_serving""",
+)
