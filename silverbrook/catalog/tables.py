@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import StringIndexer, StringIndexerModel
 from pyspark.sql import functions as F
 
 from .. import contracts
 from ..functions import fixed_values as fixed
 from ..plans import monitoring as mon
 from ..plans import quality as q
-from ..plans.scoring import features
 from ..session import fresh_path
 from ..sources import bridge, events, tables
 from .base import Frames, register
@@ -200,8 +199,10 @@ def _reloaded_codes(f: Frames):
     """A fitted encoder saved by version and as latest; the latest one encodes all payments."""
     root = fresh_path(f.spark, "models")
     payments = f.payments.select("payment_id", "payment_method")
-    saved = tables.save_model(features.fit_codes(payments, ["payment_method"]), root, "codes", "v1")
-    return features.with_codes(payments, StringIndexerModel.load(saved[-1]), ["payment_method"])
+    encoder = StringIndexer(inputCol="payment_method", outputCol="code", stringOrderType="alphabetAsc")
+    saved = tables.save_model(encoder.fit(payments), root, "codes", "v1")
+    coded = StringIndexerModel.load(saved[-1]).transform(payments)
+    return coded.select("payment_id", "payment_method", F.col("code").cast("int").alias("payment_method_code"))
 
 
 register(

@@ -20,7 +20,7 @@ from ...contracts import FRAUD_SCORES
 from ...functions import rules
 from ...operators.quantile import exact_quantile
 from ...operators.series import min_max_risk
-from ...session import use_checkpoints
+from ...sources.tables import staged
 from .features import CATEGORIES, FRAUD_FEATURES, assemble, fit_codes
 
 # The published model's parameters.
@@ -163,11 +163,11 @@ def detect(
     serving: DataFrame, keys: Sequence[str] = ("booking_id", "car_id", "payment_id"), *, trees: int = TREES
 ) -> DataFrame:
     """The fraud score table of a serving frame."""
-    use_checkpoints(serving.sparkSession)
-    codes = fit_codes(serving, CATEGORIES)
-    featured = assemble(serving, FRAUD_FEATURES, codes, CATEGORIES)
+    read = [c for c in CATEGORIES if c in FRAUD_FEATURES]
+    featured = assemble(serving, FRAUD_FEATURES, fit_codes(serving, read), read)
     # Scores are read three times (cut, bounds, result); they are worked out once.
-    scored = score_rows(featured, fit_forest(featured, list(keys), trees)).drop("features").checkpoint()
-    scored = label_scores(scored)
+    wanted = [c for c in FRAUD_SCORES.columns if c in featured.columns]
+    scored = score_rows(featured, fit_forest(featured, list(keys), trees)).select(*wanted, "anomaly_score")
+    scored = label_scores(staged(scored, "anomaly-scores"))
     scored = scored.withColumns({"model_name": F.lit(MODEL_NAME), "pickup_hour": rules.or_zero(F.col("pickup_hour"))})
     return scored.select(*[c for c in FRAUD_SCORES.columns if c in scored.columns])

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +15,10 @@ from ...functions import fixed_values as fixed
 from ...functions import rules
 from ...operators.keyed import days_since_last
 from ...operators.quantile import exact_quantile, order_statistic, value_counts
+from ...operators.ranks import area_under_curve
 from ...operators.series import calendar_quantile
 from ...session import use_checkpoints
+from ...sources.tables import staged
 from .features import CATEGORIES, CHURN_FEATURES, assemble, fit_codes
 
 # The published model's parameters.
@@ -25,6 +26,7 @@ TREES, DEPTH, LEARNING_RATE, ROW_SHARE, COLUMN_SHARE, SEED = 200, 5, 0.05, 0.8,
 TEST_SHARE = 0.2
 MODEL_NAME = "gradient_boosted_trees"
 KEYS = ("booking_id", "car_id", "payment_id")
+ATTRIBUTES = ["customer_name", "loyalty_tier", "points_tier", "is_high_value_customer"]
 CHURN_CATEGORIES = [c for c in CATEGORIES if c != "insurer_type"]
 
 
@@ -132,10 +134,14 @@ def fit(
     return estimator.fit(weighted)
 
 
-def auc(model: GBTClassificationModel, test: DataFrame) -> float:
-    """M11."""
-    scored = model.transform(test.withColumn("label", F.col("churn_label").cast("double")))
-    return BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(scored)
+def hold_out_scores(model: GBTClassificationModel, test: DataFrame) -> DataFrame:
+    """``churn_probability, churn_label`` of held-out rows, written once."""
+    return staged(score(model, test).select("churn_probability", "churn_label"), "hold-out")
+
+
+def auc(scored: DataFrame) -> DataFrame:
+    """``tested, auc`` of scored rows, exact."""
+    return area_under_curve(scored, "churn_probability", "churn_label")
 
 
 def score(model: GBTClassificationModel, featured: DataFrame) -> DataFrame:
@@ -149,14 +155,13 @@ def roll_up(scored: DataFrame, model_auc: float | None = None) -> DataFrame:
 
     Attributes are constant within a customer after silver; the smallest is taken should they differ.
     """
-    attributes = ["customer_name", "loyalty_tier", "points_tier", "is_high_value_customer"]
     grouped = scored.groupBy("customer_id").agg(
-        F.max("churn_probability").alias("churn_probability"), *[F.min(a).alias(a) for a in attributes]
+        F.max("churn_probability").alias("churn_probability"), *[F.min(a).alias(a) for a in ATTRIBUTES]
     )
     risk = rules.churn_risk_label(F.col("churn_probability"))
     return grouped.filter(F.col("customer_id").isNotNull()).select(
         "customer_id",
-        *attributes,
+        *ATTRIBUTES,
         "churn_probability",
         risk.alias("churn_risk"),
         F.lit(model_auc).cast("double").alias("model_auc"),
@@ -165,11 +170,12 @@ def roll_up(scored: DataFrame, model_auc: float | None = None) -> DataFrame:
 
 
 def training_frame(serving: DataFrame, as_of: Column) -> DataFrame:
-    """Labelled rows with features, written once to the checkpoint folder: every later step reads them."""
-    use_checkpoints(serving.sparkSession)
-    labelled = both_classes(label_churn(serving, as_of).checkpoint())
-    codes = fit_codes(labelled, CHURN_CATEGORIES)
-    return assemble(labelled, CHURN_FEATURES, codes, CHURN_CATEGORIES)
+    """Labelled rows with features, the columns later steps read written once as Parquet."""
+    labelled = label_churn(serving, as_of)
+    needed = dict.fromkeys([*KEYS, "customer_id", *ATTRIBUTES, *CHURN_FEATURES, "behaviour_label", "churn_label"])
+    labelled = both_classes(staged(labelled.select(*[c for c in needed if c in labelled.columns]), "labelled"))
+    read = [c for c in CHURN_CATEGORIES if c in CHURN_FEATURES]
+    return assemble(labelled, CHURN_FEATURES, fit_codes(labelled, read), read)
 
 
 def predict_churn(serving: DataFrame, as_of: Column, *, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
@@ -177,5 +183,6 @@ def predict_churn(serving: DataFrame, as_of: Column, *, trees: int = TREES, dept
     featured = training_frame(serving, as_of)
     train, test = split(featured)
     model = fit(train, trees=trees, depth=depth)
-    result = roll_up(score(model, featured), auc(model, test))
+    area = auc(hold_out_scores(model, test)).first().auc
+    result = roll_up(score(model, featured), area)
     return result.select(*[c for c in CHURN_SCORES.columns if c in result.columns])

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ...operators.ranks import dense_codes
+from ...operators.ranks import with_codes as attach_codes
+
 # Which columns the published models read.
 CATEGORIES = [
     "loyalty_tier", "payment_method", "insurance_coverage", "model", "trip_type", "car_segment", "amount_tier",
@@ -33,27 +36,21 @@ def code_name(column: str) -> str:
     return f"{column}_code"
 
 
-def _texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({f"_{c}": F.coalesce(F.col(c).cast("string"), F.lit(MISSING_TEXT)) for c in columns})
+def _texts(columns: Sequence[str]) -> dict[str, Column]:
+    return {c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_TEXT)) for c in columns}
 
 
-def fit_codes(df: DataFrame, columns: Sequence[str]) -> StringIndexerModel:
-    """Alphabetical codes of category columns, learnt in one aggregate over all of them."""
-    indexer = StringIndexer(
-        inputCols=[f"_{c}" for c in columns],
-        outputCols=[code_name(c) for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    return indexer.fit(_texts(df, columns).select(*[f"_{c}" for c in columns]))
+def fit_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Alphabetical codes of category columns as a written table ``name, value, code``; no value meets the driver."""
+    return dense_codes(df.select(*[text.alias(c) for c, text in _texts(columns).items()]), columns)
 
 
-def with_codes(df: DataFrame, model: StringIndexerModel, columns: Sequence[str]) -> DataFrame:
-    coded = model.transform(_texts(df, columns)).drop(*[f"_{c}" for c in columns])
-    return coded.withColumns({code_name(c): F.col(code_name(c)).cast("int") for c in columns})
+def with_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Attach ``<column>_code``; values that ``codes`` does not know share the code after the last."""
+    return attach_codes(df, codes, _texts(columns))
 
 
-def assemble(df: DataFrame, features: Sequence[str], codes: StringIndexerModel, categories: Sequence[str]) -> DataFrame:
+def assemble(df: DataFrame, features: Sequence[str], codes: DataFrame, categories: Sequence[str]) -> DataFrame:
     """Add the ``features`` vector: codes for categories, 0/1 for flags, zero for what is missing."""
     present = [c for c in features if c in df.columns]
     coded = with_codes(df, codes, categories)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import merged, unique_source
+from ..session import fresh_path
 
 POINTER = "_current"
 BUCKETS = 64
@@ -37,6 +38,13 @@ def balanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: lineage ends here and lost executors cost nothing."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # -- plain tables ------------------------------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None) -> DataFrame:
