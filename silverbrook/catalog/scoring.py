@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..operators import series as sr
-from ..plans.scoring import anomaly, churn, features, forecast
+from ..operators.ranks import area_under_curve
+from ..plans.scoring import anomaly, churn, features, forecast, grams
 from ..sources.bridge import CHURN_SCORE
 from .base import Frames, register
 
@@ -28,6 +29,63 @@ register(
        JOIN f_daily ON ds <= cutoff + 15 GROUP BY cutoff""",
 )
 
+# Trend and weekday by SQL: least squares with a level for each weekday is a slope over the deviations from its means.
+_WEEKDAY = "(CAST(strftime({}, '%w') AS INTEGER) + 6) % 7"
+register(
+    "m03_weekday_backtest",
+    lambda f: grams.backtest(f.daily, terms=grams.weekday_terms, ridge=0.0).withColumn("mape", F.round("mape", 6)),
+    f"""WITH span AS (SELECT min(ds) AS first, max(ds) AS last, count(*) AS n FROM f_daily),
+        cuts AS (SELECT CAST(last - 15 - 7 * i AS DATE) AS cutoff FROM span
+                 CROSS JOIN (SELECT CAST(unnest(range(0, 2000)) AS INTEGER) AS i)
+                 WHERE last - 15 - 7 * i >= first + CAST(greatest(30, floor(n / 2)) AS INTEGER) AND n >= 60),
+        days AS (SELECT ds, CAST(y AS DOUBLE) AS y, CAST(date_diff('day', DATE '2000-01-01', ds) AS DOUBLE) / 365.25 AS t,
+                        {_WEEKDAY.format('ds')} AS w FROM f_daily),
+        means AS (SELECT cutoff, w, avg(t) AS mt, avg(y) AS my FROM cuts JOIN days ON ds <= cutoff GROUP BY ALL),
+        slopes AS (SELECT m.cutoff, sum((t - mt) * (y - my)) / sum((t - mt) * (t - mt)) AS slope
+                   FROM means m JOIN days d ON d.ds <= m.cutoff AND d.w = m.w GROUP BY m.cutoff)
+        SELECT cutoff, CAST(count(*) AS INTEGER) AS tested,
+               round(avg(abs(greatest(my + slope * (t - mt), 0) - y) / y) * 100, 6) AS mape
+        FROM cuts JOIN days ON ds > cutoff AND ds <= cutoff + 15 JOIN means USING (cutoff, w) JOIN slopes USING (cutoff)
+        WHERE y > 0 GROUP BY cutoff""",
+)
+
+
+def _series(f: Frames):
+    """Routes of one pick-up place are a series each; most have too few days for a model of their own."""
+    by = ["pickup_location", "trip_type"]
+    found = grams.series_forecast(grams.series_counts(f.mart, by), by, terms=grams.weekday_terms, ridge=0.0)
+    return found.withColumns({c: F.round(c, 5) for c in ("predicted_bookings", "lower_bound", "upper_bound")})
+
+
+register(
+    "m02_series_forecast",
+    _series,
+    f"""WITH days AS (
+          SELECT pickup_location AS p, trip_type AS q, ds, y, CAST(date_diff('day', DATE '2000-01-01', ds) AS DOUBLE) / 365.25 AS t,
+                 {_WEEKDAY.format('ds')} AS w
+          FROM (SELECT pickup_location, trip_type, booking_date AS ds, CAST(count(*) AS DOUBLE) AS y FROM f_serving
+                WHERE booking_date IS NOT NULL GROUP BY ALL)),
+        pooling AS (SELECT *, FALSE AS pool FROM days UNION ALL SELECT 'all', 'all', ds, y, t, w, TRUE FROM days),
+        means AS (SELECT p, q, pool, w, avg(t) AS mt, avg(y) AS my FROM pooling GROUP BY ALL),
+        slopes AS (SELECT p, q, pool, sum((t - mt) * (y - my)) / sum((t - mt) * (t - mt)) AS slope
+                   FROM means JOIN pooling USING (p, q, pool, w) GROUP BY ALL),
+        fits AS (SELECT p, q, pool, any_value(slope) AS slope, count(*) AS n, avg(y) AS level,
+                        sqrt(avg((y - my - slope * (t - mt)) ** 2)) AS rmse
+                 FROM pooling JOIN means USING (p, q, pool, w) JOIN slopes USING (p, q, pool) GROUP BY ALL),
+        ahead AS (SELECT d, CAST(date_diff('day', DATE '2000-01-01', d) AS DOUBLE) / 365.25 AS t, {_WEEKDAY.format('d')} AS w
+                  FROM (SELECT CAST(max(ds) + CAST(unnest(range(1, 31)) AS INTEGER) AS DATE) AS d FROM days)),
+        guesses AS (SELECT p, q, pool, d, my + slope * (t - mt) AS g FROM ahead JOIN means USING (w) JOIN slopes USING (p, q, pool)),
+        made AS (SELECT f.p, f.q, g.d, g.g, f.rmse, FALSE AS pooled FROM fits f JOIN guesses g USING (p, q, pool)
+                 WHERE NOT f.pool AND f.n >= 60
+                 UNION ALL
+                 SELECT f.p, f.q, g.d, g.g * f.level / a.level, a.rmse * f.level / a.level, TRUE
+                 FROM fits f CROSS JOIN (SELECT * FROM fits WHERE pool) a CROSS JOIN (SELECT * FROM guesses WHERE pool) g
+                 WHERE NOT f.pool AND f.n < 60)
+        SELECT p AS pickup_location, q AS trip_type, d AS forecast_date, round(greatest(g, 0.0), 5) AS predicted_bookings,
+               round(greatest(g - {forecast.INTERVAL_Z} * rmse, 0.0), 5) AS lower_bound,
+               round(greatest(g + {forecast.INTERVAL_Z} * rmse, 0.0), 5) AS upper_bound, pooled FROM made""",
+)
+
 
 def _codes(f: Frames):
     model = features.fit_codes(f.mart, features.CATEGORIES)
@@ -116,35 +174,49 @@ register(
 )
 
 
-_MODELS: dict[tuple[str, str], tuple] = {}
-
-
-def _trained(f: Frames):
-    """The classifier, the rows it scores and the hold-out; fitted once per session and data set."""
-    key = (f.spark.sparkContext.applicationId, f.sf_dir)
-    if key not in _MODELS:
-        _MODELS[key] = _train(f)
-    return _MODELS[key]
-
-
 def _train(f: Frames):
+    """The classifier, the rows it scores and the hold-out."""
     featured = churn.training_frame(f.serving, F.lit(AS_OF).cast("date"))
     train, test = churn.split(featured)
     return churn.fit(train), featured, test
 
 
 def _auc(f: Frames):
-    model, _, test = _trained(f)
-    return test.agg(F.count(F.lit(1)).alias("tested")).withColumn("auc", F.round(F.lit(churn.auc(model, test)), 4))
+    model, _, test = _train(f)
+    return churn.auc(churn.hold_out_scores(model, test)).withColumn("auc", F.round("auc", 4))
 
 
 def _scores(f: Frames):
-    model, featured, test = _trained(f)
-    return churn.roll_up(churn.score(model, featured), churn.auc(model, test))
+    model, featured, test = _train(f)
+    area = churn.auc(churn.hold_out_scores(model, test)).first().auc
+    return churn.roll_up(churn.score(model, featured), area)
 
 
 register("m10_churn_scores", _scores)
 register("m11_hold_out_auc", _auc)
+
+
+def _exact_auc(f: Frames):
+    """The rank sum over every serving row: a given score against the churn label, ties counted half."""
+    scored = _labelled(f).withColumn("p", F.expr(CHURN_SCORE.replace("customer_id", "booking_id")))
+    return area_under_curve(scored, "p", "churn_label").withColumn("auc", F.round("auc", 9))
+
+
+register(
+    "m11_exact_auc",
+    _exact_auc,
+    f"""WITH recent AS (SELECT *, CAST(date_diff('day', max(booking_date) OVER (PARTITION BY customer_id),
+                              DATE '{AS_OF}') AS INTEGER) AS days FROM f_serving),
+        cuts AS (SELECT greatest(60, CAST(floor(quantile_cont(days, 0.3)) AS INTEGER)) AS t,
+                        CAST(sum(CAST(round(payment_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 / count(payment_amount)
+                          AS mean FROM recent),
+        labelled AS (SELECT CAST((CAST(substr(booking_id, 2) AS BIGINT) * 7919) % 1001 AS DOUBLE) / 1000 AS p,
+                            CAST((days > t OR {BEHAVIOUR}) AS INTEGER) AS label FROM recent CROSS JOIN cuts),
+        ranked AS (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r FROM labelled)
+        SELECT count(*) AS tested,
+               round((sum(r) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2.0)
+                     / (CAST(sum(label) AS DOUBLE) * CAST(count(*) - sum(label) AS DOUBLE)), 9) AS auc FROM ranked""",
+)
 register(
     "m12_customer_roll_up",
     lambda f: churn.roll_up(

@@ -7,10 +7,6 @@ the bookings behind it.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
@@ -86,66 +82,37 @@ def forecast(daily: DataFrame, horizon: int = HORIZON) -> DataFrame:
     return predict(fit(daily), future(daily, horizon), errors["mape"])
 
 
-def with_cutoffs(
+def cutoffs(
     daily: DataFrame, period: int = CV_PERIOD, horizon: int = CV_HORIZON, min_days: int = MIN_DAYS
 ) -> DataFrame:
-    """Each day copied to the cut-offs that train or test on it.
+    """The cut-offs of a back-test, one row each.
 
-    Cut-offs step back from the last possible one by ``period`` while at least ``max(30, n/2)`` days lie
-    before them. A series shorter than ``min_days`` has none.
+    They step back from the last possible one by ``period`` while at least ``max(30, n/2)`` days lie before them. A
+    series shorter than ``min_days`` has none.
     """
-    span = daily.agg(
-        F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"), F.count(F.lit(1)).alias("n")).alias("s")
-    ).scalar()
     s = F.col("_s")
+    span = daily.agg(F.struct(F.min("ds").alias("first"), F.max("ds").alias("last"), F.count(F.lit(1)).alias("n")).alias("_s"))
     last = F.date_sub(s["last"], horizon)
     first = F.date_add(s["first"], F.greatest(F.lit(CV_MIN_INITIAL), F.floor(s["n"] / 2)).cast("int"))
     steps = F.floor(F.date_diff(last, first) / period).cast("int")
-    cutoffs = F.transform(F.sequence(F.lit(0), steps), lambda i: F.date_sub(last, i * period))
-    usable = F.when((s["n"] >= min_days) & (last >= first), cutoffs).otherwise(F.array().cast("array<date>"))
+    found = F.transform(F.sequence(F.lit(0), steps), lambda i: F.date_sub(last, i * period))
+    usable = F.when((s["n"] >= min_days) & (last >= first), found).otherwise(F.array().cast("array<date>"))
+    return span.select(F.explode(usable).alias("cutoff"))
+
+
+def with_cutoffs(
+    daily: DataFrame, period: int = CV_PERIOD, horizon: int = CV_HORIZON, min_days: int = MIN_DAYS
+) -> DataFrame:
+    """Each day copied to the cut-offs that train or test on it, to show the folds; ``grams.backtest`` copies none."""
+    cuts = cutoffs(daily, period, horizon, min_days).agg(F.collect_list("cutoff")).scalar()
     return (
-        daily.withColumn("_s", span)
-        .select("ds", F.col("y").cast("double").alias("y"), F.explode(usable).alias("cutoff"))
+        daily.select("ds", F.col("y").cast("double").alias("y"), F.explode(cuts).alias("cutoff"))
         .filter(F.col("ds") <= F.date_add("cutoff", horizon))
     )
 
 
 def backtest(daily: DataFrame, period: int = CV_PERIOD, horizon: int = CV_HORIZON) -> DataFrame:
     """Per cut-off, the mean absolute percentage error over the horizon after it."""
-    def evaluate(pdf: pd.DataFrame) -> pd.DataFrame:
-        cutoff = pdf["cutoff"].iloc[0]
-        past = (pdf["ds"] <= cutoff).to_numpy()
-        x, y = _matrix(pdf["ds"]), pdf["y"].to_numpy()
-        tested = ~past & (y > 0)
-        if not tested.any() or past.sum() < 2:
-            return pd.DataFrame({"cutoff": [cutoff], "tested": [0], "mape": [None]})
-        weights = _ridge(x[past], y[past])
-        error = np.abs(_apply(weights, x[tested]) - y[tested]) / y[tested]
-        return pd.DataFrame({"cutoff": [cutoff], "tested": [int(tested.sum())], "mape": [float(error.mean() * 100)]})
-
-    folds = with_cutoffs(daily, period, horizon)
-    return folds.groupBy("cutoff").applyInPandas(evaluate, "cutoff date, tested int, mape double")
-
-
-def _matrix(days: Sequence) -> np.ndarray:
-    t = pd.to_datetime(pd.Series(list(days))).to_numpy().astype("datetime64[D]").astype("float64")
-    columns = [t / YEAR]
-    for period, k in _cycles():
-        angle = t * (2 * math.pi * k / period)
-        columns += [np.sin(angle), np.cos(angle)]
-    return np.column_stack(columns)
-
-
-def _ridge(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Ridge weights on standardised features."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 0, scale, 1.0)
-    z = (x - mean) / scale
-    level = float(y.mean())
-    gram = z.T @ z + RIDGE * len(y) * np.eye(z.shape[1])
-    return np.linalg.solve(gram, z.T @ (y - level)), mean, scale, level
-
+    from . import grams
 
-def _apply(weights: tuple, x: np.ndarray) -> np.ndarray:
-    beta, mean, scale, level = weights
-    return np.maximum((x - mean) / scale @ beta + level, 0.0)
+    return grams.backtest(daily, period, horizon)
