@@ -64,6 +64,12 @@ for _key, _types in {
 }.items():
     register(_key, lambda f, t=_types: q.run_suite(f.mart, _of(*t)), suite_sql(_of(*_types)))
 
+# Keys of the bookings and of their parts, and a column that repeats: four rules, one exchange.
+MANY_UNIQUE = q.suite(
+    [{"type": q.UNIQUE, "kwargs": {"column": c}} for c in ("booking_id", "payment_id", "car_id", "customer_id")]
+)
+register("q04_many_unique", lambda f: q.run_suite(f.mart, MANY_UNIQUE), suite_sql(MANY_UNIQUE))
+
 register("q09_run_suite", lambda f: q.run_suite(f.mart, SUITE), suite_sql(SUITE))
 
 

@@ -135,8 +135,8 @@ def booking_suite() -> list[dict]:
 def run_suite(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     """Success and counts per rule (Q01-Q07, Q09).
 
-    All row rules share one aggregate over the frame. Duplicate counts come from an aggregate by key,
-    attached as scalar subqueries.
+    All row rules share one aggregate over the frame. All uniqueness rules share another: their values are counted
+    together, in one exchange, and what they find is attached as scalar subqueries of one row.
     """
     usable = [c for c in checks if c.type == EXISTS or c.column == TABLE_LEVEL or c.column in df.columns]
     gone = [c for c in checks if c not in usable]
@@ -147,9 +147,13 @@ def run_suite(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
         *[F.count_if(c.unexpected()).alias(f"u{c.position}") for c in row_rules],
         *[F.count_if(F.col(c).isNull()).alias(f"m_{c}") for c in nullable],
     )
+    unique = list(dict.fromkeys(c.column for c in usable if c.type == UNIQUE))
+    if unique:
+        found = duplicate_rows(df, unique).agg(F.map_from_entries(F.collect_list(F.struct("column_name", "n")))).scalar()
+        measured = measured.withColumn("_repeated", found)
     for c in usable:
         if c.type == UNIQUE:
-            measured = measured.withColumn(f"u{c.position}", duplicate_rows(df, c.column).scalar())
+            measured = measured.withColumn(f"u{c.position}", F.coalesce(F.col("_repeated")[c.column], F.lit(0)))
     outcome = F.array(*[_outcome(c, df.columns) for c in usable], *[_failed_outright(c) for c in gone])
     counted = measured.select(F.explode(outcome).alias("r")).select("r.*")
     present = F.col("element_count") - F.col("missing_count")
@@ -169,10 +173,23 @@ def run_suite(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, column: str) -> DataFrame:
-    """How many rows share their non-null value with another row."""
-    counted = key_counts(df.filter(F.col(column).isNotNull()), [column])
-    return counted.agg(F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)))
+def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``column_name, n`` for each column: how many rows share their non-null value with another row.
+
+    Each row becomes one cell a column, cells are combined map-side and meet in a single exchange, whatever the number
+    of columns. A value is counted by its 128-bit digest, so long values cost no more than short ones, and a value that
+    much of the table shares is one row a task before it is shuffled.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(columns)])
+    digest = F.unhex(F.md5(F.col("cell.value").cast("binary")))
+    counted = (
+        df.select(F.explode(cells).alias("cell"))
+        .filter(F.col("cell.value").isNotNull())
+        .groupBy(F.col("cell.at").alias("at"), digest.alias("value"))
+        .agg(rows().alias("n_rows"))
+    )
+    repeated = counted.groupBy("at").agg(F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("n"))
+    return repeated.select(F.array(*[F.lit(c) for c in columns])[F.col("at")].alias("column_name"), "n")
 
 
 def _pct(part: Column, whole: Column) -> Column:
