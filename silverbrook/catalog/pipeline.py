@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fixed
 from ..functions import rules
 from ..operators import frames as fr
-from ..operators import keyed, upsert, vectors
+from ..operators import hyperplanes, keyed, upsert, vectors
 from ..plans import monitoring as mon
 from ..plans import silver
 from ..plans.curated import curate
@@ -386,3 +386,24 @@ register(
                        round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), q.question), 6) AS similarity
                 FROM embeddings e, ({CENTROID_SQL}) q) q) WHERE rank <= 5""",
 )
+
+
+def _approximate(f: Frames):
+    """Every twentieth vector as a question: what hyperplane tables find against the exact search."""
+    questions = f.table("embeddings").filter(F.col("vec_id") % 20 == 0).select(
+        F.col("vec_id").alias("question_id"), F.col("embedding").alias("question")
+    )
+    names = dict(key="vec_id", vector="embedding", query_key="question_id", query_vector="question")
+    found = hyperplanes.nearest_approximate(f.table("embeddings"), questions, 5, **names)
+    exact = vectors.nearest_batch(f.table("embeddings"), questions, 5, **names)
+    share = hyperplanes.recall(found, exact, "question_id", "vec_id").scalar()
+    top = found.filter(F.col("rank") == 1).select("question_id", "vec_id", "similarity")
+    return top.withColumn("recalled", share >= 0.9)
+
+
+register(
+    "j15_hyperplanes",
+    _approximate,
+    """SELECT vec_id AS question_id, vec_id, CAST(1.0 AS DOUBLE) AS similarity, TRUE AS recalled FROM embeddings
+       WHERE vec_id % 20 = 0""",
+)
