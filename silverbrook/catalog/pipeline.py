@@ -255,9 +255,7 @@ register(
 )
 register(
     "j07_actual_forecast",
-    lambda f: f.daily.join(f.forecast.withColumnRenamed("forecast_date", "ds"), "ds").select(
-        "ds", F.col("y").alias("actual"), "predicted_bookings"
-    ),
+    lambda f: mon.actual_against_forecast(f.daily, f.forecast).withColumnRenamed("forecast_date", "ds"),
     """SELECT ds, y AS actual, predicted_bookings FROM f_daily JOIN f_forecast ON ds = forecast_date""",
 )
 register(

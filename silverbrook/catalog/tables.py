@@ -269,3 +269,22 @@ register(
 )
 
 
+def _typed_differences(f: Frames):
+    """The payments as decoded from their messages against the flat record, types included, with the rows they hold."""
+    payments = events.bronze_payments(events.split_decoded(events.decode_json(_messages(f)))[0]).drop("ingested_at")
+    cast = payments.withColumn("payment_amount", F.col("payment_amount").cast("string")).withColumn("car", F.lit(1))
+    rows = cast.agg(F.count(F.lit(1))).scalar()
+    return contracts.schema_diff(f.spark, cast.schema, contracts.FLAT_RECORD.struct).withColumn("rows", rows)
+
+
+register(
+    "s20_typed_difference",
+    _typed_differences,
+    "SELECT field, actual_type, expected_type, CASE WHEN actual_type IS NULL THEN 'missing' WHEN expected_type IS NULL THEN 'added' "
+    "WHEN actual_type <> expected_type THEN 'type_changed' ELSE 'same' END AS change, "
+    "actual_type IS NOT NULL AND (expected_type IS NULL OR actual_type = expected_type) AS is_compatible, "
+    "(SELECT count(*) FROM f_b_payments) AS rows FROM (VALUES "
+    + ", ".join(f"('{field.name}', '{field.dataType.simpleString()}')" for field in contracts.FLAT_RECORD.struct)
+    + """) c(field, expected_type) FULL JOIN (VALUES ('booking_id', 'string'), ('payment_id', 'string'),
+         ('payment_method', 'string'), ('payment_amount', 'string'), ('car', 'int')) a(field, actual_type) USING (field)""",
+)

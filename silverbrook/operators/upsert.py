@@ -1,8 +1,7 @@
 """Insert-or-update by key for plain files, as one join-free-of-hot-keys plan.
 
 ``merged`` is pure DataFrame algebra: survivors of the target by anti join, plus the source. The table
-layer (``sources.tables``) publishes the result as a new version and then flips a pointer, so a reader
-or a failed writer never meets half a table.
+layer (``sources.tables``) replaces the partitions it touched.
 """
 
 from __future__ import annotations

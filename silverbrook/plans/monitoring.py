@@ -255,6 +255,12 @@ def top_critical(fraud: DataFrame, serving: DataFrame) -> DataFrame:
 
 # -- model evaluation ------------------------------------------------------------------------------------------------
 
+def actual_against_forecast(daily: DataFrame, forecast: DataFrame) -> DataFrame:
+    """``forecast_date, actual, predicted_bookings`` of the dates that both have; ``daily`` is ``(ds, y)``."""
+    actual = daily.select(F.col("ds").alias("forecast_date"), F.col("y").alias("actual"))
+    return actual.join(forecast.select("forecast_date", "predicted_bookings"), "forecast_date")
+
+
 def forecast_evaluation(
     serving: DataFrame,
     forecast: DataFrame,
@@ -268,8 +274,7 @@ def forecast_evaluation(
     A stored cross-validated error takes precedence over the error of the overlap.
     """
     recent = serving.filter(F.col("booking_date") >= F.date_sub(as_of, days))
-    actual = recent.groupBy(F.col("booking_date").alias("forecast_date")).agg(rows().alias("actual"))
-    overlap = actual.join(forecast.select("forecast_date", "predicted_bookings"), "forecast_date")
+    overlap = actual_against_forecast(recent.groupBy(F.col("booking_date").alias("ds")).agg(rows().alias("y")), forecast)
     error = F.abs(F.col("actual") - F.col("predicted_bookings")) / F.greatest(F.col("actual"), F.lit(1))
     measured = overlap.agg(rows().alias("eval_days"), F.round(F.avg(error) * 100, 2).alias("overlap_mape"))
     stored = forecast.agg(F.min_by("mape", F.when(F.col("mape").isNotNull(), F.col("forecast_date")))).scalar()

@@ -90,14 +90,16 @@ RUNTIME = {
 
 
 def build_session(settings: Settings | None = None, master: str | None = None) -> SparkSession:
-    """A session with adaptive execution on; cluster sizing stays with the submitter."""
+    """A session with adaptive execution on and this package on its workers; cluster sizing stays with the submitter."""
     settings = settings or Settings()
     builder = SparkSession.builder.appName(settings.app_name)
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME, **settings.spark}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 _LOCAL_DIRS: dict[str, str] = {}

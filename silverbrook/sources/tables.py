@@ -1,15 +1,13 @@
-"""Lake tables on plain files, or Delta where it is installed.
+"""Lake tables on plain partitioned files, or Delta where it is installed.
 
-A versioned table is a folder of immutable version folders and a pointer file naming the current ones, a line each.
-Publishing writes a complete new version first and replaces the pointer last, in one rename. A keyed table is cut into
-buckets by a hash of its key, each in a folder of its own; an upsert rewrites the buckets its source touches, and the
-new pointer names the others where they are.
+A keyed table is partitioned by a hash of its key. An upsert reads the partitions its source touches, merges, and
+replaces those partitions with a dynamic partition overwrite; the others are neither read nor written. Merging is by
+key, so an upsert that was cut short is mended by running it again.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +15,8 @@ from pyspark.sql import functions as F
 from ..operators.upsert import merged, unique_source
 from ..session import fresh_path
 
-POINTER = "_current"
 BUCKETS = 64
-
-
-class TableMoved(RuntimeError):
-    """Another writer has published a version since this one read the table."""
+BUCKET = "_bucket_of_"
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -48,14 +42,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 # -- plain tables ------------------------------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None) -> DataFrame:
-    """A table by path, or its projection; versioned tables resolve to their current version."""
-    df = spark.read.format(fmt).load(current_folders(spark, path) or path)
-    return df.select(*columns) if columns else df
+    """A table by path, or its projection; the hash a keyed table is partitioned by is not shown."""
+    df = spark.read.format(fmt).load(path)
+    return df.select(*columns) if columns else df.drop(*[c for c in df.columns if c.startswith(BUCKET)])
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True if the path holds a table."""
-    return _exists(spark, path)
+    fs, root = _fs(spark, path)
+    return fs.exists(root)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append") -> None:
@@ -109,34 +104,15 @@ def save_model(model, root: str, name: str, version: str) -> list[str]:
     return paths
 
 
-# -- versioned tables ------------------------------------------------------------------------------------------
-
-def current_folders(spark: SparkSession, path: str) -> list[str]:
-    """The folders of the published version, empty where there is none."""
-    return [f"{path}/{name}" for name in (_pointer(spark, path) or "").split("\n") if name and not name.startswith("#")]
+# -- whole and keyed tables ------------------------------------------------------------------------------------
 
-
-def publish(
-    spark: SparkSession,
-    df: DataFrame,
-    path: str,
-    partition_by: Sequence[str] = (),
-    fmt: str = "parquet",
-    keep: int | None = None,
-) -> str:
-    """Write ``df`` as a new version and make it current; older versions stay for their readers.
-
-    ``keep`` limits them: of the versions no longer current, all but the newest ``keep`` are deleted.
-    """
-    before = _pointer(spark, path)
-    version = f"v-{uuid.uuid4().hex}"
-    target = f"{path}/{version}"
-    writer = balanced(df, partition_by) if partition_by else df
-    writer = writer.write.mode("errorifexists").format(fmt)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
-    _flip(spark, path, version, before)
-    _retire(spark, path, keep)
-    return target
+def publish(spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> str:
+    """Write ``df`` as the whole table. It may be computed from the table's present rows: they are read first."""
+    if table_exists(spark, path):
+        df = staged(df, "publish")
+    writer = (balanced(df, partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+    return path
 
 
 def upsert(
@@ -145,78 +121,49 @@ def upsert(
     path: str,
     keys: Sequence[str],
     newest_first: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     buckets: int = BUCKETS,
-    keep: int | None = None,
 ) -> None:
     """Create on the first run, update and insert by key afterwards.
 
-    The source is reduced to one row per key first, so replayed input changes nothing. Only buckets that hold one of
-    its keys are read and written again. A table cut otherwise, by columns or other keys, is rewritten as a whole.
+    The source is reduced to one row per key first, so replayed input changes nothing. The table is partitioned by a
+    hash of the key, so a key never changes its partition, and only partitions that hold a key of the source are read
+    and replaced. ``buckets`` belongs to the table; another number, or other keys, than it was made with is an error.
+    A source without rows changes nothing and creates nothing.
     """
     source = unique_source(source, keys, newest_first)
     if fmt == "delta" and delta_available(spark):
-        _delta_upsert(spark, source, path, keys, partition_by)
-        return
-    before = _pointer(spark, path)
-    folders = current_folders(spark, path)
-    if partition_by:
-        result = merged(spark.read.format(fmt).load(folders), source, keys) if folders else source
-        publish(spark, result, path, partition_by, fmt, keep)
+        _delta_upsert(spark, source, path, keys)
         return
-    head = f"# {buckets} buckets by {', '.join(keys)}"
-    cut = before is not None and before.split("\n")[0] == head
-    source = source.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-    held = {_bucket_of(f): f for f in folders} if cut else {}
-    # At most one row a bucket.
-    touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
-    if not touched and cut:
+    # The name keeps tables made with other keys or another number of buckets apart.
+    bucket = f"{BUCKET}{buckets}_by_{'_'.join(keys)}"
+    placed = source.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    if table_exists(spark, path):
+        target = spark.read.format(fmt).load(path)
+        if bucket not in target.columns:
+            raise ValueError(f"{path} is not partitioned by {bucket}")
+        # At most one row a bucket.
+        touched = [r[0] for r in placed.select(bucket).distinct().collect()]
+        if not touched:
+            return
+        placed = staged(merged(target.filter(F.col(bucket).isin(touched)), placed, keys), "upsert")
+    elif placed.isEmpty():
         return
-    old = [held[b] for b in touched if b in held] if cut else folders
-    result = source
-    if old:
-        target = spark.read.format(fmt).load(old)
-        result = merged(target.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), source, keys)
-    version = f"v-{uuid.uuid4().hex}"
-    balanced(result, [BUCKET]).write.mode("errorifexists").format(fmt).partitionBy(BUCKET).save(f"{path}/{version}")
-    fs, _ = _fs(spark, path)
-    written = [str(x.getPath().getName()) for x in fs.listStatus(_path(spark, f"{path}/{version}"))]
-    fresh = {int(n.split("=")[1]): f"{version}/{n}" for n in written if n.startswith(f"{BUCKET}=")}
-    stay = {b: f.removeprefix(f"{path}/") for b, f in held.items()}
-    lines = [head, *(name for _, name in sorted((stay | fresh).items()))]
-    if not fresh and not stay:
-        # A table without rows still has columns.
-        source.drop(BUCKET).write.format(fmt).save(f"{path}/{version}/none")
-        lines = [f"{version}/none"]
-    _flip(spark, path, "\n".join(lines), before)
-    _retire(spark, path, keep)
-
-
-BUCKET = "_bucket"
-
-
-def _bucket_of(folder: str) -> int:
-    return int(folder.rsplit(f"{BUCKET}=", 1)[1])
-
-
-def _delta_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]):
+    writer = balanced(placed, [bucket]).write.mode("overwrite").format(fmt)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(bucket).save(path)
+
+
+def _delta_upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str]):
     from delta.tables import DeltaTable
 
     if not DeltaTable.isDeltaTable(spark, path):
-        writer = source.write.format("delta").mode("overwrite")
-        (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+        source.write.format("delta").mode("overwrite").save(path)
         return
     match = " AND ".join(f"target.`{k}` <=> source.`{k}`" for k in keys)
     merge = DeltaTable.forPath(spark, path).alias("target").merge(source.alias("source"), match)
     merge.whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
 
 
-def refresh(spark: SparkSession, path: str, build: Callable[[DataFrame], DataFrame]) -> str:
-    """Publish a new version computed from the current one."""
-    return publish(spark, build(read_table(spark, path)), path)
-
-
 # -- serving database -----------------------------------------------------------------------------------------------
 
 def jdbc_write_options(url: str, table: str, user: str, password: str, driver: str) -> dict[str, str]:
@@ -255,52 +202,3 @@ def _path(spark: SparkSession, path: str):
 def _fs(spark: SparkSession, path: str):
     root = _path(spark, path)
     return root.getFileSystem(spark._jsc.hadoopConfiguration()), root
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, root = _fs(spark, path)
-    return fs.exists(root)
-
-
-def _pointer(spark: SparkSession, path: str) -> str | None:
-    fs, _ = _fs(spark, path)
-    pointer = _path(spark, f"{path}/{POINTER}")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-    finally:
-        stream.close()
-
-
-def _flip(spark: SparkSession, path: str, lines: str, before: str | None) -> None:
-    """Replace the pointer by one rename, unless it has moved since ``before`` was read.
-
-    Readers see the old pointer or the new one, and a crash before the rename leaves the old version current.
-    """
-    if _pointer(spark, path) != before:
-        raise TableMoved(path)
-    fs, root = _fs(spark, path)
-    draft = _path(spark, f"{path}/.{POINTER}-{uuid.uuid4().hex}")
-    stream = fs.create(draft, True)
-    try:
-        stream.write(bytearray(lines.encode()))
-    finally:
-        stream.close()
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
-    options[0] = hadoop.Options.Rename.OVERWRITE
-    context = hadoop.FileContext.getFileContext(fs.makeQualified(root).toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(fs.makeQualified(draft), fs.makeQualified(_path(spark, f"{path}/{POINTER}")), options)
-
-
-def _retire(spark: SparkSession, path: str, keep: int | None) -> None:
-    """Delete versions nothing current lies in, all but the newest ``keep``; None keeps all."""
-    if keep is None:
-        return
-    fs, root = _fs(spark, path)
-    used = {f.removeprefix(f"{path}/").split("/")[0] for f in current_folders(spark, path)}
-    old = [x for x in fs.listStatus(root) if x.getPath().getName().startswith("v-") and x.getPath().getName() not in used]
-    for status in sorted(old, key=lambda x: x.getModificationTime(), reverse=True)[keep:]:
-        fs.delete(status.getPath(), True)
