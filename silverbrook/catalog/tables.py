@@ -284,7 +284,7 @@ register(
     "WHEN actual_type <> expected_type THEN 'type_changed' ELSE 'same' END AS change, "
     "actual_type IS NOT NULL AND (expected_type IS NULL OR actual_type = expected_type) AS is_compatible, "
     "(SELECT count(*) FROM f_b_payments) AS rows FROM (VALUES "
-    + ", ".join(f"('{field.name}', '{field.dataType.simpleString()}')" for field in contracts.FLAT_RECORD.struct)
+    + ", ".join("('{}', '{}')".format(*field.split()[:2]) for field in contracts.FLAT_RECORD.ddl.split(","))
     + """) c(field, expected_type) FULL JOIN (VALUES ('booking_id', 'string'), ('payment_id', 'string'),
          ('payment_method', 'string'), ('payment_amount', 'string'), ('car', 'int')) a(field, actual_type) USING (field)""",
 )
