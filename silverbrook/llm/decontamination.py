@@ -162,7 +162,7 @@ def _merged(spans: list[tuple[int, int]]) -> np.ndarray:
 def _rounds(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """The benchmark's items in rounds of bounded size; rows stream to the driver one partition at a time."""
     held, size = [], 0
-    for row in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
+    for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         held.append((row.item_id, row.text))
         size += len(row.text) // 4 + 1
         if size > ROUND_WORDS:
@@ -176,8 +176,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """All columns of ``docs`` with ``n_words``, ``spans``, ``n_hit`` and ``items`` added (names taken get ``_`` before).
 
     ``spans`` are merged ``[from, to)`` word places inside any occurrence of a window of a benchmark item: ``window``
-    consecutive words, or all of a shorter item. A null or empty text has no words and no spans. Items without an
-    id, text or words match nothing; repeated items count once. Rows are judged one by one, so repeated rows and
+    consecutive words, or all of a shorter item. A null or empty text has no words and no spans. Items without text or
+    words match nothing; those without an id mark words like any other but are not listed; repeated items count once. Rows are judged one by one, so repeated rows and
     rows without an id are kept. Empty tables give no rows, or no spans.
     """
     names = [common.free_name(docs, n) for n in ("n_words", "spans", "items")]
@@ -226,7 +226,7 @@ def _one_round(docs: DataFrame, items: list[tuple], window: int, names: list[str
             added = [
                 pa.array([n for n, _, _ in found], pa.int64()),
                 pa.array([[{"from": int(a), "to": int(b)} for a, b in s] for _, s, _ in found], pa.list_(pair)),
-                pa.array([[str(i) for i in items] for _, _, items in found], pa.list_(pa.string())),
+                pa.array([[str(i) for i in items if i is not None] for _, _, items in found], pa.list_(pa.string())),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=[*batch.schema.names, *names])
 
