@@ -208,9 +208,13 @@ base AS (SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last, list(DIS
 templates(label, t) AS (VALUES {", ".join(
     f"('{label}', {list(dict.fromkeys(text.split()))})" for label, text in license_scan.TEMPLATES
 )}),
+marked AS (
+  SELECT doc_id, array_to_string(list_transform(regexp_split_to_array(replace(norm, chr(1), ' '), '\\r\\n|\\n|\\r'),
+    lambda x: CASE WHEN regexp_matches(x, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]') THEN x ELSE chr(1) END), chr(10)) AS paragraphs
+  FROM docs),
 blocks AS (
   SELECT doc_id, list_distinct(regexp_extract_all(b, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w
-  FROM (SELECT doc_id, unnest(regexp_split_to_array(norm, '[\\n\\r]+|[.!?;][ \\t\\n\\x0B\\f\\r]+')) AS b FROM docs)),
+  FROM (SELECT doc_id, unnest(regexp_split_to_array(paragraphs, '\\x01|[.!?;][ \\t\\n\\x0B\\f\\r]+')) AS b FROM marked)),
 shares AS (
   SELECT doc_id, label, CAST(len(list_intersect(t, w)) AS DOUBLE) / len(t) AS share FROM blocks, templates),
 met AS (

@@ -81,6 +81,7 @@ def contaminated(docs, items, window=13):
                 if owners := windows.get(tuple(w[i : i + n])):
                     hit.update(range(i, i + n))
                     found |= owners
+        found.discard(None)
         names = ",".join(sorted(map(str, found)))
         out[doc_id] = (
             len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(w)
@@ -88,6 +89,18 @@ def contaminated(docs, items, window=13):
     return out
 
 
+def sentences(text):
+    """Paragraphs, which a line without a word ends, cut where a sentence does."""
+    held, out = [], []
+    for line in [*re.split(r"\r\n|\n|\r", lower(text)), ""]:
+        if WORD.search(line):
+            held.append(line)
+        elif held:
+            out += re.split(r"[.!?;][ \t\n\x0b\f\r]+", "\n".join(held))
+            held = []
+    return out
+
+
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
 

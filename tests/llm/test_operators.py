@@ -534,10 +534,14 @@ def test_equal_digests_are_confirmed_by_their_strings(folder, monkeypatch):
 
 def test_decontamination_equals_brute_force(docs, odd, spark):
     items = spark.createDataFrame(BENCHMARK, "item_id bigint, text string")
-    wanted = brute.contaminated(ROWS, [b for b in BENCHMARK if None not in b])
+    wanted = brute.contaminated(ROWS, [b for b in BENCHMARK if b[1] is not None])
     judged = decontamination.contamination(docs.drop("n_words", "items"), items)
     assert by_id(decontamination.digest_columns(judged), "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == wanted
     assert any(w[4] for w in wanted.values())
+    # An item without an id marks words but has no name to list.
+    rows = spark.createDataFrame([(1, "x No ID, at all! y")], "doc_id bigint, text string")
+    nameless = decontamination.contamination(rows, items)
+    assert [tuple(r) for r in decontamination.digest_columns(nameless).select("n_hit", "n_items").collect()] == [(4, 0)]
     taken = decontamination.contamination(odd, items)
     assert taken.count() == 5 and {"_n_words", "_items", "_spans", "n_hit"} <= set(taken.columns)
     assert decontamination.contamination(odd.limit(0), items).count() == 0
@@ -573,7 +577,7 @@ def test_license_scan(docs, odd):
         labels, best = set(filter(None, r.base_labels.split(","))), 1.0 if r.n_base else 0.0
         for label, template in license_scan.TEMPLATES:
             wanted = set(template.split())
-            for block in __import__("re").split(r"[\n\r]+|[.!?;]\s+", brute.lower(text)):
+            for block in brute.sentences(text):
                 share = len(wanted & set(brute.words(block))) / len(wanted)
                 if share >= license_scan.CONTAINMENT - 1e-9:
                     labels.add(label)
@@ -595,6 +599,25 @@ def test_wrapped_notices_are_found(spark):
     assert got == {0: "bsd", 1: "mit", 2: "mit", 3: "bsd", 4: "", 5: "bsd"}
 
 
+def test_the_statement_of_the_license_scan_judges_paragraphs_as_well(spark):
+    import duckdb
+    import pandas as pd
+
+    from silverbrook.llm import queries
+
+    wrapped = "Redistribution and use in source and\nbinary forms, with or without\nmodification, are permitted provided that\nthe following conditions are met"
+    texts = [wrapped, wrapped.replace("\n", "\r\n"), wrapped.replace("without\n", "without\n *\n"), "released under\nthe mit license. x", None, ""]
+    texts += [wrapped.replace("forms,", "forms."), "all rights\n\nreserved", "All rights reserved\x01 released under the MIT\rlicense"]
+    documents = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    connection = duckdb.connect()
+    connection.register("documents", documents)
+    want = connection.execute(queries.ORACLES["op8_license_scan"]).df()
+    found = license_scan.scan_licenses(frame(spark, list(enumerate(texts)))).toPandas()
+    assert len(documents) == len(found)
+    for name in ("labels", "base_labels", "n_base", "score"):
+        assert dict(zip(want.doc_id, want[name], strict=True)) == dict(zip(found.doc_id, found[name], strict=True))
+
+
 # Operator 10: neighbours.
 
 
