@@ -70,7 +70,8 @@ class WordEncoder:
         self.pieces = _Memory(self._piece, REMEMBERED)
 
     def _piece(self, piece: str) -> bytes:
-        seen = piece.encode("utf-8").decode("latin-1").translate(self.letters)
+        # Visible ASCII stands for itself in the byte-level alphabet.
+        seen = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
         return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(seen)])
 
     def _word(self, word: str) -> bytes:
