@@ -161,7 +161,7 @@ def _deduplicated(f: Frames) -> DataFrame:
     for files in (3, 5):
         # As a stream brings them: a file holds messages of neighbouring days.
         timed.repartitionByRange(files, "timestamp").write.mode("append").parquet(source)
-    stream = events.read_event_files(f.spark, source, files_per_trigger=3, timed=True)
+    stream = events.read_event_files(f.spark, source, files_per_trigger=4, timed=True)
     ingest.finish(stateful.start_deduplicated(stream, lake, delay="20000 days"))
     return _sizes(f, lake)
 
