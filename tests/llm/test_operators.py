@@ -202,23 +202,24 @@ def test_markup_cuts_no_article(page, want):
 
 
 @pytest.mark.parametrize(
-    "page",
+    "shape",
     [
-        "<a " * 60_000, "<div>" * 20_000 + "</span>" * 20_000, "<span>" + "<div>" * 20_000 + "</span>" * 20_000, "<a '\"" * 40_000,
-        "<a " * 60_000 + '">', "<a" * 90_000, "<!" * 90_000, "<select>" + "<select " * 20_000, "<b>" * 20_000 + "<div></div>" * 10_000,
-        "<!--" * 40_000, "<li><b>" * 20_000, "<p " + "class='x' " * 20_000 + ">", "<div class=\"a'b\" id='c\"d'>" * 8_000, "&" * 200_000,
+        lambda n: "<a " * 6 * n, lambda n: "<div>" * 2 * n + "</span>" * 2 * n, lambda n: "<span>" + "<div>" * 2 * n + "</span>" * 2 * n,
+        lambda n: "<a '\"" * 4 * n, lambda n: "<a " * 6 * n + '">', lambda n: "<a" * 9 * n, lambda n: "<!" * 9 * n,
+        lambda n: "<select>" + "<select " * 2 * n, lambda n: "<b>" * 2 * n + "<div></div>" * n, lambda n: "<!--" * 4 * n,
+        lambda n: "<li><b>" * 2 * n, lambda n: "<p " + "class='x' " * 2 * n + ">", lambda n: "<div class=\"a'b\" id='c\"d'>" * n, lambda n: "&" * 20 * n,
     ],
 )
-def test_pages_of_any_shape_take_linear_time(page):
-    def seconds(text):
+def test_pages_of_any_shape_take_linear_time(shape):
+    def seconds(page):
         began = time.process_time()
-        html_text.blocks_of(text)
+        html_text.blocks_of(page)
         return time.process_time() - began
 
-    # Twice the page takes twice the time; a square would take four times it.
-    half, whole = (min(seconds(t) for _ in range(3)) for t in (page[: len(page) // 2], page))
-    assert whole < 3.2 * half + 0.05
-    assert whole < 3
+    # Four times the page takes four times the time; a square would take sixteen times it.
+    small, large = (min(seconds(shape(n)) for _ in range(3)) for n in (3_000, 12_000))
+    assert large < 8 * small + 0.1
+    assert large < 5
 
 
 def covered_by_brute(streams, pages, run):
