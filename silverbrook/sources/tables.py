@@ -135,6 +135,23 @@ def upsert(
     if fmt == "delta" and delta_available(spark):
         _delta_upsert(spark, source, path, keys)
         return
+    _replace_keys(spark, source, path, keys, fmt, buckets)
+
+
+def replace_groups(
+    spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet", buckets: int = BUCKETS
+) -> None:
+    """Replace all rows of each key of ``source`` by its rows there, however many; other keys stay.
+
+    For tables whose rows depend on a group as a whole, such as a booking's cars and payments: rows that a group no
+    longer has go. The table is laid out, and a source without rows treated, as by ``upsert``.
+    """
+    _replace_keys(spark, source, path, keys, fmt, buckets)
+
+
+def _replace_keys(
+    spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], fmt: str, buckets: int
+) -> None:
     # The name keeps tables made with other keys or another number of buckets apart.
     bucket = f"{BUCKET}{buckets}_by_{'_'.join(keys)}"
     placed = source.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
