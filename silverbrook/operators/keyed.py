@@ -51,6 +51,7 @@ def lookup_left_join(
     unique: DataFrame,
     keys: Sequence[str],
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a table with one row per key, balanced when one key owns much of ``df``.
 
@@ -58,10 +59,11 @@ def lookup_left_join(
     is the usual case here. Rows of a hot key are therefore spread over slices and its single lookup row
     is copied to each of them; each row still meets exactly one lookup row. Rows without a whole key are
     spread over places where no lookup row is. Keys, null ones too, are counted first, with map-side combination;
-    where none is hot, the join is a plain one, with all columns pruned and filters pushed down.
+    where none is hot, the join is a plain one, with all columns pruned and filters pushed down. ``counted`` holds the
+    rows of each key of ``df`` in ``_rows`` where the caller knows them already.
     """
     keys = list(keys)
-    counts = key_counts(df, keys, "_rows").filter(F.col("_rows") > hot_rows)
+    counts = (key_counts(df, keys, "_rows") if counted is None else counted).filter(F.col("_rows") > hot_rows)
     hot = _checked(counts.select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_slices")))
     if hot is None:
         return df.join(unique, keys, "left")

@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from ...contracts import CHURN_SCORES
 from ...functions import fixed_values as fixed
 from ...functions import rules
-from ...operators.keyed import days_since_last
+from ...operators.keyed import lookup_left_join
 from ...operators.quantile import exact_quantile, order_statistic, value_counts
 from ...operators.ranks import area_under_curve
-from ...operators.series import calendar_quantile
 from ...session import use_checkpoints
 from ...sources.tables import staged
 from .features import CATEGORIES, CHURN_FEATURES, assemble, fit_codes
@@ -30,10 +29,6 @@ ATTRIBUTES = ["customer_name", "loyalty_tier", "points_tier", "is_high_value_cus
 CHURN_CATEGORIES = [c for c in CATEGORIES if c != "insurer_type"]
 
 
-def with_recency(serving: DataFrame, as_of: Column) -> DataFrame:
-    return days_since_last(serving, "customer_id", "booking_date", as_of, fixed.UNSEEN_DAYS)
-
-
 def behaviour(mean_payment: Column) -> Column:
     """Low tier, small payment and not a high-value customer."""
     low_tier = F.lower("loyalty_tier").isin(*fixed.CHURN_LOW_TIERS)
@@ -42,20 +37,35 @@ def behaviour(mean_payment: Column) -> Column:
 
 
 def label_churn(serving: DataFrame, as_of: Column) -> DataFrame:
-    """Churned if absent longer than the data-driven threshold, or by behaviour."""
-    recent = with_recency(serving, as_of)
-    cut = calendar_quantile(recent, "days_since_last_booking", fixed.CHURN_RECENCY_QUANTILE)
-    threshold = cut.select(
-        F.greatest(F.lit(fixed.CHURN_INACTIVE_DAYS), F.floor("quantile").cast("int")).alias("t")
-    ).scalar()
+    """Churned if absent longer than the data-driven threshold, or by behaviour.
+
+    One aggregate a customer, written once, answers everything but the labels themselves: the threshold is a quantile of
+    its days weighted by its rows, the mean payment a quotient of its sums, and its rows tell hot customers.
+    """
     cents = F.rint(F.col("payment_amount") * 100).cast("long")
-    mean = serving.agg(F.sum(cents) / F.lit(100.0) / F.count("payment_amount")).scalar()
-    framed = recent.withColumns({"_t": threshold, "_mean": mean})
-    absent = F.col("days_since_last_booking") > F.col("_t")
-    by_behaviour = behaviour(F.col("_mean"))
+    customers = serving.groupBy("customer_id").agg(
+        F.max("booking_date").alias("last_booking_date"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(cents).alias("_cents"),
+        F.count("payment_amount").alias("_paid"),
+    )
+    customers = staged(customers, "churn-customers")
+    gap = F.coalesce(F.date_diff(as_of, F.col("last_booking_date")), F.lit(fixed.UNSEEN_DAYS))
+    # Rows without a customer have no last booking.
+    days = F.when(F.col("customer_id").isNotNull(), gap).otherwise(fixed.UNSEEN_DAYS)
+    cut = F.percentile(days, F.lit(fixed.CHURN_RECENCY_QUANTILE), F.col("_rows"))
+    threshold = F.greatest(F.lit(fixed.CHURN_INACTIVE_DAYS), F.floor(cut).cast("int"))
+    mean = F.sum("_cents") / F.lit(100.0) / F.sum("_paid")
+    cuts = customers.agg(F.struct(threshold.alias("t"), mean.alias("mean"))).scalar()
+
+    unique = customers.filter(F.col("customer_id").isNotNull()).select("customer_id", "last_booking_date")
+    recent = lookup_left_join(serving, unique, ["customer_id"], counted=customers.select("customer_id", "_rows"))
+    framed = recent.withColumns({"days_since_last_booking": gap, "_cuts": cuts})
+    absent = F.col("days_since_last_booking") > F.col("_cuts.t")
+    by_behaviour = behaviour(F.col("_cuts.mean"))
     return framed.withColumns(
         {"behaviour_label": by_behaviour.cast("int"), "churn_label": (absent | by_behaviour).cast("int")}
-    ).drop("_t", "_mean")
+    ).drop("_cuts")
 
 
 def both_classes(labelled: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
+from silverbrook.functions import fixed_values as fixed
 from silverbrook.plans.scoring import anomaly, churn, features, forecast
 
 from .conftest import values
@@ -153,3 +154,16 @@ def test_trees_draw_from_the_whole_table_and_small_tables_whole(spark):
     assert drawn.groupBy("tree", "k").count().filter("count > 1").count() == 0
     small = anomaly.tree_samples(big.limit(30), ["k"], 20, 100).groupBy("tree").count().collect()
     assert {r["count"] for r in small} == {30} and len(small) == 20
+
+
+def test_labels_count_rows_without_customer_and_take_a_subquery_as_day(spark):
+    rows = [("c1", "2024-01-01", 10.0), ("c1", "2024-03-01", 30.0), ("c2", "2023-01-01", None), (None, "2024-03-01", 2.0)]
+    made = [(*r, "gold", True) for r in rows]
+    df = spark.createDataFrame(
+        made, "customer_id string, booking_date string, payment_amount double, loyalty_tier string, is_high_value_customer boolean"
+    ).withColumn("booking_date", F.col("booking_date").cast("date"))
+    got = churn.label_churn(df, df.agg(F.max("booking_date")).scalar())
+    labels = {(r.customer_id, r.days_since_last_booking, r.churn_label) for r in got.collect()}
+    # Days are 0, 0, 425 and, for a row without customer, the fixed number: the quantile is below the fixed floor.
+    assert labels == {("c1", 0, 0), ("c2", 425, 1), (None, fixed.UNSEEN_DAYS, 1)}
+    assert got.count() == 4 and churn.label_churn(df.limit(0), F.current_date()).count() == 0
