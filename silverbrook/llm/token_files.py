@@ -3,8 +3,9 @@
 Format: a shard is a pair of files. ``NAME.ids`` holds the ids of its documents one after another, unsigned and
 little-endian, two bytes wide where the vocabulary allows it and else four. ``NAME.idx`` holds little-endian signed
 64-bit integers: the number of documents n, the width of an id in bytes, n document ids, and n + 1 offsets counted
-in ids from the shard's beginning. Shards follow each other in ascending order of document id; a shard's base, the
-ids of all shards before it, is the prefix sum over the shards' totals.
+in ids from the shard's beginning. Shards follow each other in ascending order of document id and hold about
+``SHARD_IDS`` ids, or one document that is longer. A shard's base, the ids of all shards before it, is the prefix sum
+over the totals of partitions plus what its own partition wrote before it.
 """
 
 from __future__ import annotations
@@ -21,7 +22,13 @@ from pyspark.sql import types as T
 from . import common, tokens
 
 WIDTHS = {2: "<u2", 4: "<u4"}
-_SHARD = "shard int, name string, documents bigint, ids bigint, base bigint"
+#: A task writes a shard out when it holds so many ids, so its memory does not grow with its partition.
+SHARD_IDS = 1 << 24
+#: Texts of one id, also of the null one, spread over partitions by so many characters of theirs.
+KEY_CHARS = 64
+#: Beyond so many shards a reading task takes several, one after another.
+READ_TASKS = 20_000
+_WRITTEN = "shard int, name string, documents bigint, ids bigint, before bigint"
 
 
 def _filesystem(folder: str):
@@ -53,13 +60,15 @@ def _get(folder: str, name: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype=np.uint8)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str = tokens.TOKENIZER) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, folder: str, tokenizer: str = tokens.TOKENIZER, shard_ids: int = SHARD_IDS
+) -> DataFrame:
     """Encode whole texts and write shards in ascending ``doc_id`` order; returns the manifest, one row a shard.
 
     Rows with a null ``doc_id`` come first, under the id -1 << 63. Equal ids are ordered by text, nulls first; a
     null text counts as empty and has the end id alone. Other columns are ignored; an empty table has no shard.
-    Texts are range-partitioned by id and sorted; a task holds one shard's ids. The manifest is bounded by the
-    number of partitions.
+    Texts are range-partitioned by id and first characters and sorted; a task holds the ids of one shard at a time,
+    whatever the partition's size. The driver sees one total a partition.
     """
     spark = docs.sparkSession
     null_id = -(1 << 63)
@@ -70,32 +79,46 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = tokens.TOKE
         encoder = tokens.encoder(tokenizer)
         width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         shard = TaskContext.get().partitionId()
-        parts, names, sizes = [], [], []
+        parts, names, sizes, number, before = [], [], [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            name = f"shard-{shard:06d}-{number:06d}"
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            _put(folder, f"{name}.ids", parts)
+            _put(folder, f"{name}.idx", [np.array([len(names), width, *names, *offsets], dtype="<i8").tobytes()])
+            return pa.RecordBatch.from_pydict(
+                {"shard": [shard], "name": [name], "documents": [len(names)], "ids": [held], "before": [before]},
+                schema=pa.schema(
+                    [("shard", pa.int32()), ("name", pa.string())]
+                    + [(n, pa.int64()) for n in ("documents", "ids", "before")]
+                ),
+            )
+
+        held = 0
         for batch in common.sliced(batches, "text"):
-            names += [null_id if n is None else n for n in batch.column(0).to_pylist()]
-            for ids in encoder(tokens.texts_of(batch)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(tokens.texts_of(batch)), strict=True):
+                names.append(null_id if doc_id is None else doc_id)
                 sizes.append(len(ids) // 4)
                 parts.append(np.frombuffer(ids, "<u4").astype(WIDTHS[width]).tobytes())
-        if not names:
-            return
-        name = f"shard-{shard:06d}"
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        _put(folder, f"{name}.ids", parts)
-        _put(folder, f"{name}.idx", [np.array([len(names), width, *names, *offsets], dtype="<i8").tobytes()])
-        yield pa.RecordBatch.from_pydict(
-            {"shard": [shard], "name": [name], "documents": [len(names)], "ids": [int(offsets[-1])]},
-            schema=pa.schema([("shard", pa.int32()), ("name", pa.string()), ("documents", pa.int64()), ("ids", pa.int64())]),
-        )
-
-    sorted_docs = (
-        docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    )
-    shards = sorted_docs.mapInArrow(encode, "shard int, name string, documents bigint, ids bigint").collect()
-    base, rows = 0, []
-    for row in sorted(shards, key=lambda r: r.shard):
-        rows.append((row.shard, row.name, row.documents, row.ids, base))
+                held += sizes[-1]
+                if held >= shard_ids:
+                    yield flush()
+                    before, number, held = before + held, number + 1, 0
+                    parts, names, sizes = [], [], []
+        if names:
+            yield flush()
+
+    key = F.left("text", F.lit(KEY_CHARS))
+    sorted_docs = docs.select("doc_id", "text").repartitionByRange("doc_id", key).sortWithinPartitions("doc_id", "text")
+    shards = common.written(sorted_docs.mapInArrow(encode, _WRITTEN), "shards")
+    base, bases = 0, []
+    for row in sorted(shards.groupBy("shard").agg(F.sum("ids").alias("ids")).collect()):
+        bases.append((row.shard, base))
         base += row.ids
-    return spark.createDataFrame(rows, _SHARD)
+    known = spark.createDataFrame(bases, "shard int, first bigint")
+    return shards.join(F.broadcast(known), "shard").select(
+        "shard", "name", "documents", "ids", (F.col("first") + F.col("before")).alias("base")
+    )
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str) -> DataFrame:
@@ -136,6 +159,6 @@ def read_token_files(spark: SparkSession, manifest: DataFrame, folder: str) -> D
                     low = high
 
     shards = manifest.select("name", "base")
-    files = max(1, manifest.count())
+    files = max(1, min(manifest.count(), READ_TASKS))
     read = shards.repartition(files, "name").mapInArrow(decode, schema)
     return read.withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))

@@ -144,6 +144,23 @@ def test_encoder_equals_the_tokenizer():
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(some)] == brute.encoded(some)
 
 
+def test_token_files_in_small_shards(docs, odd, spark, folder):
+    for at, frame in enumerate((docs, odd, odd.unionByName(odd))):
+        whole = token_files.write_token_files(frame, f"{folder}/w{at}")
+        small = token_files.write_token_files(frame, f"{folder}/s{at}", shard_ids=10)
+        rows = [
+            sorted(token_files.read_token_files(spark, manifest, f"{folder}/{name}{at}").collect(), key=lambda r: r.start)
+            for manifest, name in ((whole, "w"), (small, "s"))
+        ]
+        assert rows[0] == rows[1] and small.count() > whole.count()
+        # Shards follow each other without a gap, and only one with a single long document passes the bound by much.
+        end = 0
+        for shard in sorted(small.collect(), key=lambda r: r.base):
+            assert shard.base == end
+            end += shard.ids
+        assert end == sum(r.n_tokens for r in rows[0])
+
+
 def test_token_files_round_trip(docs, odd, spark, folder):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     manifest = token_files.write_token_files(docs, f"{folder}/a")
