@@ -211,6 +211,9 @@ def test_blocks_follow_markup():
         ('<div class="sidebar"><article>text</article></div>', [(True, "text")]),
         ('<article>text<div class="comments-area"><article>no</article></div></article>', [(True, "text")]),
         ('<article>text</article><div class="related"><article>no</article></div>', [(True, "text")]),
+        ('<article>a<div class="user-comments">no</div><p id="readerComment">no</p><p class="author-notice">no</p></article>', [(True, "a")]),
+        ('<article class="has-comments">a<p class="commentary">b</p><p class="entry-without-ads">c</p></article>', [(True, "a"), (True, "b"), (True, "c")]),
+        ('<article>a<section class="reader-comments"><article class="comment">no</article></section></article>', [(True, "a")]),
         ('<nav><article>no</article></nav><div class="site-header">no</div><ul class="comment-list"><li>no</ul>', []),
     ],
 )
