@@ -231,3 +231,42 @@ register(
        FROM (SELECT *, CAST((CAST(substr(booking_id, 2) AS BIGINT) * 7919) % 1001 AS DOUBLE) / 1000 AS p FROM f_serving)
        WHERE customer_id IS NOT NULL GROUP BY customer_id""",
 )
+
+
+# What models return can be told without their trees: which rows, bounds, and labels that follow from the scores. Few
+# trees make it as well as many.
+FEW_TREES = 10
+
+
+def _forest_contract(f: Frames):
+    """Rows of each booking with a score, whether bounds and labels hold, and whether the flagged are the rare share."""
+    scored = anomaly.detect(f.serving, trees=FEW_TREES)
+    score = F.col("fraud_risk_score")
+    fits = score.between(0, 100) & (F.col("risk_label") == rules.fraud_risk_label(score))
+    whole = scored.agg(
+        ((F.min(score) == 0) & (F.max(score) == 100) & (F.avg("is_fraud") <= anomaly.CONTAMINATION)).alias("w")
+    )
+    counted = scored.groupBy("booking_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(fits).alias("fits"))
+    return counted.withColumn("scaled", whole.scalar())
+
+
+register(
+    "m05_scored_rows",
+    _forest_contract,
+    "SELECT booking_id, count(*) AS n, TRUE AS fits, TRUE AS scaled FROM f_serving GROUP BY booking_id",
+)
+
+
+def _classifier_contract(f: Frames):
+    """Customers with a probability, whether their label follows from it, and whether the AUC beats guessing."""
+    scored = churn.predict_churn(f.serving, F.lit(AS_OF).cast("date"), trees=FEW_TREES)
+    p = F.col("churn_probability")
+    fits = p.between(0, 1) & (F.col("churn_risk") == rules.churn_risk_label(p)) & (F.col("model_auc") > 0.5)
+    return scored.select("customer_id", "loyalty_tier", "points_tier", fits.alias("fits"))
+
+
+register(
+    "m10_scored_customers",
+    _classifier_contract,
+    """SELECT DISTINCT customer_id, loyalty_tier, points_tier, TRUE AS fits FROM f_serving WHERE customer_id IS NOT NULL""",
+)
