@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -167,3 +168,21 @@ def test_labels_count_rows_without_customer_and_take_a_subquery_as_day(spark):
     # Days are 0, 0, 425 and, for a row without customer, the fixed number: the quantile is below the fixed floor.
     assert labels == {("c1", 0, 0), ("c2", 425, 1), (None, fixed.UNSEEN_DAYS, 1)}
     assert got.count() == 4 and churn.label_churn(df.limit(0), F.current_date()).count() == 0
+
+
+def test_leaves_lead_to_themselves_and_paths_are_those_of_the_nodes():
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(200, 3)), 1)
+    nodes = pd.concat([anomaly._grow(x[:50], t, np.random.default_rng(t)) for t in range(3)])
+    forest = anomaly.Forest(nodes)
+    lengths = np.zeros(len(x))
+    for t, tree in nodes.groupby("tree"):
+        tree = tree.set_index("node")
+        for i, row in enumerate(x):
+            at = tree.loc[0]
+            while at["feature"] >= 0:
+                at = tree.loc[at["left"] if row[int(at["feature"])] <= at["threshold"] else at["right"]]
+            lengths[i] += at["depth"] + anomaly._expected_depth(np.array([at["size"]]))[0]
+            leaf = t * forest.width + int(at.name)
+            assert forest.next[2 * leaf] == forest.next[2 * leaf + 1] == leaf
+    assert np.allclose(forest.score(x), -np.exp2(-lengths / 3 / forest.norm))
