@@ -219,3 +219,18 @@ def test_models_of_constant_and_dependent_features():
     model = grams.Model(flat, 0.0)
     assert np.allclose(model.predict(x[:, 1:]), y) and model.rmse < 1e-6
     assert math.isclose(model.level, y.mean())
+
+
+def test_buckets_cut_into_blocks_find_the_same(spark, monkeypatch):
+    draw = np.random.default_rng(2)
+    rows = [(i, draw.standard_normal(8).tolist()) for i in range(300)]
+    df = spark.createDataFrame(rows + [(1000 + i, rows[0][1]) for i in range(60)], "id int, v array<float>")
+    asked = df.filter("id % 20 = 0").select(F.col("id").alias("q"), F.col("v").alias("w"))
+    names = dict(key="id", vector="v", query_key="q", query_vector="w")
+    whole = hyperplanes.nearest_approximate(df, asked, 4, tables=4, bits=2, probes=2, **names)
+    assert "FlatMapCoGroupsInPandas" in whole._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr(hyperplanes, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(hyperplanes, "QUERY_LIMIT", 3)
+    cut = hyperplanes.nearest_approximate(df, asked, 4, tables=4, bits=2, probes=2, **names)
+    assert len(want) == 4 * asked.count() and sorted(map(tuple, cut.collect())) == want
