@@ -38,7 +38,7 @@ register(
 
 
 def _json_arrays(f: Frames):
-    """Events written as files that each hold one JSON array, read back as rows."""
+    """Events written as compressed files that each hold one JSON array, read back as rows."""
     def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
@@ -46,7 +46,7 @@ def _json_arrays(f: Frames):
 
     path = fresh_path(f.spark, "json-arrays")
     texts = _messages(f).select("value").mapInPandas(arrays, "value string")
-    texts.write.option("maxRecordsPerFile", 1).text(path)
+    texts.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
     return events.flatten_booking(events.read_json_array(f.spark, path))
 
 
