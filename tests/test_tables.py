@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from silverbrook import contracts
 from silverbrook.operators import upsert
-from silverbrook.session import Settings, Thresholds, fresh_path, shared_dir
+from silverbrook.session import Settings, Thresholds, fresh_path, prepare, shared_dir
 from silverbrook.sources import tables
 
 from .conftest import values
@@ -226,3 +226,24 @@ def test_a_table_keeps_its_keys_and_buckets(spark, folder):
     for other in ({"keys": ["j"]}, {"keys": ["k"], "buckets": 8}):
         with pytest.raises(ValueError, match="not partitioned"):
             tables.upsert(spark, rows, path, **other)
+
+
+def test_the_source_of_an_upsert_is_worked_out_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(50).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    for run in (1, 2):
+        tables.upsert(spark, rows.mapInPandas(count, "k bigint, v string"), f"{folder}/t", ["k"], buckets=8)
+        assert seen.value == 50 * run
+    assert tables.read_table(spark, f"{folder}/t").count() == 50
+
+
+def test_partitions_of_joins_by_hash_table_are_small(spark):
+    conf = prepare(spark).conf
+    sizes = {conf.get(f"spark.sql.adaptive.{name}") for name in ("maxShuffledHashJoinLocalMapThreshold", "advisoryPartitionSizeInBytes")}
+    assert sizes == {"16MB"}
