@@ -6,6 +6,9 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from silverbrook.catalog import streams
+from silverbrook.catalog.base import Frames
 from silverbrook.plans.silver import silver_booking, silver_customer
 from silverbrook.session import Settings
 from silverbrook.sources import events, tables
@@ -166,3 +169,27 @@ def test_stream_is_stopped_on_timeout(spark, folder):
     query = ingest.append_stream(stream, f"{folder}/out", f"{folder}/ck")
     ingest.finish({"out": query}, timeout_seconds=120)
     assert not query.isActive
+
+
+def test_a_message_is_parsed_once(spark):
+    good, bad = events.split_decoded(events.decode_json(_messages(spark, json.dumps(EVENT), "{bad")))
+    for frame in (events.bronze_payments(good), events.bronze_booking(good), bad):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+    assert (good.count(), bad.count()) == (1, 1)
+
+
+def test_the_streams_of_a_query_read_the_same_message_files(spark, sf_dir):
+    frames = Frames(spark, sf_dir)
+    assert streams.message_path(frames) == streams.message_path(frames)
+
+
+def test_array_files_are_compressed(spark, sf_dir):
+    files = entry.QUERIES["s03_read_json_array"](spark, sf_dir).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_message_files_become_more_with_the_messages(spark, sf_dir, monkeypatch):
+    assert streams._more_files(Frames(spark, sf_dir)) == 1
+    monkeypatch.setattr(streams, "FILE_MESSAGES", 1000)
+    assert streams._more_files(Frames(spark, sf_dir)) >= 6

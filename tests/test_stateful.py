@@ -95,3 +95,12 @@ def test_identity_is_the_offset_where_the_source_has_one(spark):
     df = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
     assert len({r[0] for r in df.select(stateful.message_id(df)).collect()}) == 2
     assert len({r[0] for r in df.select(stateful.message_id(df.drop("offset"))).collect()}) == 1
+
+
+def test_a_deduplicated_batch_writes_a_file_a_day(spark, folder):
+    lake, source = replace(Settings(), lake_root=f"{folder}/lake"), f"{folder}/in"
+    rows = [(f"k{i}", _event(f"B{i}", f"2024-03-{1 + i % 4:02d}", 5.0), "2024-03-05 10:00:00") for i in range(200)]
+    _timed(spark, source, rows)
+    ingest.finish(stateful.start_deduplicated(events.read_event_files(spark, source, 1, timed=True), lake))
+    booking = tables.read_table(spark, lake.table_path("bronze", "booking"))
+    assert booking.count() == 200 and len(booking.inputFiles()) == 4
