@@ -11,6 +11,7 @@ import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,7 @@ from ..contracts import FAILED_RECORD_COLUMNS
 from ..functions import rules as shapes
 from ..functions.measures import rows
 from ..operators.keyed import key_counts, lookup_left_join, not_in
+from ..sources.tables import staged
 
 log = logging.getLogger(__name__)
 
@@ -132,11 +134,12 @@ def booking_suite() -> list[dict]:
 
 # -- evaluation ---------------------------------------------------------------------------------------------
 
-def run_suite(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
+def run_suite(df: DataFrame, checks: Sequence[Rule], counted: dict[str, DataFrame] | None = None) -> DataFrame:
     """Success and counts per rule (Q01-Q07, Q09).
 
     All row rules share one aggregate over the frame. All uniqueness rules share another: their values are counted
-    together, in one exchange, and what they find is attached as scalar subqueries of one row.
+    together, in one exchange, and what they find is attached as scalar subqueries of one row. Columns that ``counted``,
+    the frame's ``repeats``, has counted already are not counted again, but for fractions, of which text tells more apart.
     """
     usable = [c for c in checks if c.type == EXISTS or c.column == TABLE_LEVEL or c.column in df.columns]
     gone = [c for c in checks if c not in usable]
@@ -149,7 +152,11 @@ def run_suite(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
     )
     unique = list(dict.fromkeys(c.column for c in usable if c.type == UNIQUE))
     if unique:
-        found = duplicate_rows(df, unique).agg(F.map_from_entries(F.collect_list(F.struct("column_name", "n")))).scalar()
+        known = [c for c in unique if c in (counted or {}) and dict(df.dtypes)[c] not in ("float", "double")]
+        fresh = [c for c in unique if c not in known]
+        parts = [_repeated_rows(counted[c], c) for c in known] + ([duplicate_rows(df, fresh)] if fresh else [])
+        repeated = reduce(DataFrame.unionByName, parts)
+        found = repeated.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "n")))).scalar()
         measured = measured.withColumn("_repeated", found)
     for c in usable:
         if c.type == UNIQUE:
@@ -192,6 +199,12 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return repeated.select(F.array(*[F.lit(c) for c in columns])[F.col("at")].alias("column_name"), "n")
 
 
+def _repeated_rows(counts: DataFrame, column: str) -> DataFrame:
+    """``column_name, n`` as of ``duplicate_rows``, from the rows of each value."""
+    shared = F.when(F.col(column).isNotNull() & (F.col("_rows") > 1), F.col("_rows"))
+    return counts.agg(F.lit(column).alias("column_name"), F.coalesce(F.sum(shared), F.lit(0)).alias("n"))
+
+
 def _pct(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(part * 100 / whole, 4)).otherwise(0.0)
 
@@ -249,11 +262,18 @@ def run_summary(results: DataFrame, run_id: str, checkpoint: str = "customer_boo
 
 # -- offending rows -----------------------------------------------------------------------------------------
 
-def _with_marks(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
-    """Mark rows whose checked value repeats; repeated values are counted before they meet the rows."""
-    for column in sorted({c.column for c in checks if c.type == UNIQUE}):
-        repeated = key_counts(df.filter(F.col(column).isNotNull()), [column]).filter(F.col("n_rows") > 1)
-        df = lookup_left_join(df, repeated.select(column, F.lit(True).alias(_mark(column))), [column])
+def repeats(df: DataFrame, checks: Sequence[Rule]) -> dict[str, DataFrame]:
+    """Rows of each value, null too, of every column that must be unique: counted once and written."""
+    columns = sorted({c.column for c in checks if c.type == UNIQUE and c.column in df.columns})
+    return {c: staged(key_counts(df, [c], "_rows"), "value-counts") for c in columns}
+
+
+def _with_marks(df: DataFrame, counted: dict[str, DataFrame]) -> DataFrame:
+    """Mark rows whose checked value repeats; the counts of the values also tell hot ones from others."""
+    for column, counts in counted.items():
+        repeated = counts.filter(F.col(column).isNotNull() & (F.col("_rows") > 1))
+        marks = repeated.select(column, F.lit(True).alias(_mark(column)))
+        df = lookup_left_join(df, marks, [column], counted=counts)
     return df
 
 
@@ -261,26 +281,35 @@ def _applicable(df: DataFrame, checks: Sequence[Rule]) -> list[Rule]:
     return [c for c in checks if c.by_row and c.column in df.columns]
 
 
-def offending(df: DataFrame, checks: Sequence[Rule]) -> DataFrame:
-    """Every (row, broken rule) pair in one pass: broken rules are gathered per row, then exploded."""
+def offending(df: DataFrame, checks: Sequence[Rule], counted: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every (row, broken rule) pair in one pass: numbers of broken rules are gathered per row, then exploded.
+
+    What a rule says of itself is a table of fixed values by number, so a row that breaks nothing costs its conditions
+    alone. ``counted`` are the frame's ``repeats`` where the caller has them.
+    """
     checks = _applicable(df, checks)
-    broken = F.array(
-        *[
-            F.when(
-                shapes.flag(c.unexpected()),
-                F.struct(
-                    F.lit(c.position).alias("position"),
-                    F.lit(c.type).alias("expectation_type"),
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.reason).alias("failed_reason"),
-                    F.coalesce(F.col(c.column).cast("string"), F.lit("None")).alias("failed_value"),
-                ),
-            )
-            for c in checks
-        ]
+    none = F.lit(-1)
+    broken = F.array(*[F.when(shapes.flag(c.unexpected()), F.lit(i)).otherwise(none) for i, c in enumerate(checks)])
+    marked = _with_marks(df, repeats(df, checks) if counted is None else counted)
+    pairs = marked.select(*df.columns, F.explode(F.array_remove(broken, none)).alias("_broken"))
+
+    def fixed(values: list) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_broken"))
+
+    numbers: dict[str, list[int]] = {}
+    for i, c in enumerate(checks):
+        numbers.setdefault(c.column, []).append(i)
+    value = F.lit(None).cast("string")
+    for column, at in numbers.items():
+        value = F.when(F.col("_broken").isin(*at), F.col(column).cast("string")).otherwise(value)
+    return pairs.select(
+        fixed([c.position for c in checks]).alias("position"),
+        fixed([c.type for c in checks]).alias("expectation_type"),
+        fixed([c.column for c in checks]).alias("column_name"),
+        fixed([c.reason for c in checks]).alias("failed_reason"),
+        F.coalesce(value, F.lit("None")).alias("failed_value"),
+        *df.columns,
     )
-    marked = _with_marks(df, checks)
-    return marked.select(*df.columns, F.explode(F.array_compact(broken)).alias("broken")).select("broken.*", *df.columns)
 
 
 def quarantine(df: DataFrame, checks: Sequence[Rule], run_id: str) -> DataFrame:
@@ -308,13 +337,15 @@ def table_failures(results: DataFrame, run_id: str) -> DataFrame:
     )
 
 
-def unexpected_values(df: DataFrame, checks: Sequence[Rule], sample: int = SAMPLE) -> DataFrame:
+def unexpected_values(
+    df: DataFrame, checks: Sequence[Rule], sample: int = SAMPLE, counted: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """The most frequent offending values per rule with their counts, ``sample`` of each (Q11).
 
     Values are counted map-side; the per-rule cut is applied before the shuffle as well as after it.
     """
     checks = [c for c in _applicable(df, checks) if c.type != NOT_NULL]
-    found = offending(df.select(*sorted({c.column for c in checks})), checks)
+    found = offending(df.select(*sorted({c.column for c in checks})), checks, counted)
     counted = found.groupBy("position", "failed_value").agg(rows().alias("n"))
     ranked = Window.partitionBy("position").orderBy(F.col("n").desc(), "failed_value")
     kept = counted.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= sample)
@@ -343,8 +374,9 @@ def expectation_details(df: DataFrame, checks: Sequence[Rule], run_id: str) -> D
         ],
         "position int, min_value string, max_value string, regex string, value_set string",
     )
-    results = run_suite(df, checks)
-    joined = results.join(unexpected_values(df, checks), "position", "left").join(parameters, "position", "left")
+    counted = repeats(df, checks)
+    results = run_suite(df, checks, counted)
+    joined = results.join(unexpected_values(df, checks, counted=counted), "position", "left").join(parameters, "position", "left")
     empty = F.lit("[]")
     return joined.withColumns(
         {
