@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from silverbrook.llm.packing import least_slack
+from silverbrook.operators import keyed
 from silverbrook.plans import quality as q
 from silverbrook.plans.scoring import churn
 
@@ -58,3 +60,30 @@ def test_each_part_of_a_split_is_one_filter(spark, folder):
     assert train.unionByName(test).exceptAll(df).isEmpty() and train.count() + test.count() == 1000
     cut = test.agg(F.max(F.xxhash64(*churn.KEYS, F.lit(churn.SEED)))).first()[0]
     assert cut < 0  # the smallest hashes of a class, by their signed value
+
+
+def test_hot_keys_are_cut_into_no_more_cells_than_they_need(spark):
+    sides = [spark.createDataFrame([(k,) * n for k, rows in size.items() for n in [1] * rows], "k string") for size in (
+        {"one": 1, "left": 50, "both": 3}, {"one": 7, "left": 1, "both": 6}, {"one": 7, "both": 1})]
+    cut = {r["k"]: [r[f"_slices{i}"] for i in range(3)] for r in keyed._hot_slices(sides, "k", 9).collect()}
+    assert cut["one"][0] == 1 and sorted(cut["one"][1:]) == [2, 3]  # 49 rows in six cells, not in sixteen
+    assert cut["left"] == [6, 1, 1]  # the one large side takes the whole cut
+    assert cut["both"] == [1, 2, 1]
+    sides = [s.withColumn(f"v{i}", F.monotonically_increasing_id()) for i, s in enumerate(sides)]
+    joined = keyed.fan_out_left_join(sides[0], sides[1:], "k", 9)
+    plain = sides[0].join(sides[1], "k", "left").join(sides[2], "k", "left")
+    assert joined.count() == plain.count() == joined.distinct().count()
+    assert joined.exceptAll(plain.select(*joined.columns)).isEmpty()
+
+
+def test_features_are_written_before_they_are_fitted(spark, sf_dir):
+    from silverbrook.catalog.base import Frames
+
+    featured = churn.training_frame(Frames(spark, sf_dir).serving, F.lit("2001-09-01").cast("date"))
+    assert "Join" not in featured._jdf.queryExecution().optimizedPlan().toString()
+    assert {"features", "churn_label", "customer_id", *churn.KEYS, *churn.ATTRIBUTES} <= set(featured.columns)
+
+
+def test_least_slack_takes_sorted_lengths():
+    counts = {5: 2, 3: 0, 7: 1, 4: 3}
+    assert least_slack(counts, 16, [7, 5, 4]) == least_slack(counts, 16) == {7: 1, 5: 1, 4: 1}
