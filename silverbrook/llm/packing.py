@@ -51,14 +51,15 @@ _ARROW = common.arrow_schema(
 )
 
 
-def least_slack(counts: dict[int, int], capacity: int) -> dict[int, int]:
+def least_slack(counts: dict[int, int], capacity: int, lengths: list[int] | None = None) -> dict[int, int]:
     """The multiset of lengths that fills ``capacity`` best and holds the largest length; ``counts`` are available.
 
     Bit ``s`` of a step's bitset says that some choice of the steps so far sums to ``s``. A count enters as chunks
     of 1, 2, 4, ... copies, so a length takes as many steps as its count has binary digits. The program stops at
-    the first exact fill.
+    the first exact fill. ``lengths`` are those that are available, the largest first, where the caller keeps them.
     """
-    lengths = sorted((n for n, c in counts.items() if c and n <= capacity), reverse=True)
+    if lengths is None:
+        lengths = sorted((n for n, c in counts.items() if c and n <= capacity), reverse=True)
     if not lengths:
         return {}
     chosen = {lengths[0]: 1}
@@ -104,21 +105,27 @@ class _Pool:
 
     def close(self, down_to: int, final: bool) -> Iterator[tuple]:
         """Pieces with their places; without ``final``, what has slack comes out unplaced."""
+        counts = {n: len(q) for n, q in self.waiting.items()}
+        lengths = sorted(counts, reverse=True)
         while self.size > down_to:
-            counts = {n: len(q) for n, q in self.waiting.items()}
-            pattern = least_slack(counts, self.capacity)
-            exact = sum(n * c for n, c in pattern.items()) == self.capacity
-            for _ in range(min(counts[n] // c for n, c in pattern.items())):
+            pattern = least_slack(counts, self.capacity, lengths)
+            filled = sum(n * c for n, c in pattern.items())
+            placed = filled == self.capacity or final
+            queues = [self.waiting[n] for n in sorted(pattern, reverse=True) for _ in range(pattern[n])]
+            times = min(counts[n] // c for n, c in pattern.items())
+            for _ in range(times):
                 offset = 0
-                for length in sorted(pattern, reverse=True):
-                    for _ in range(pattern[length]):
-                        piece = self.waiting[length].popleft()
-                        placed = exact or final
-                        yield (*piece, self.next if placed else None, offset if placed else None)
-                        offset += length
-                self.next += exact or final
-                self.size -= offset
-            self.waiting = defaultdict(deque, {n: q for n, q in self.waiting.items() if q})
+                for queue in queues:
+                    piece = queue.popleft()
+                    yield (*piece, self.next if placed else None, offset if placed else None)
+                    offset += piece[2]
+                self.next += placed
+            self.size -= times * filled
+            for n, c in pattern.items():
+                counts[n] -= times * c
+                if not counts[n]:
+                    lengths.remove(n)
+        self.waiting = defaultdict(deque, {n: q for n, q in self.waiting.items() if q})
 
 
 def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
