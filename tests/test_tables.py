@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silverbrook import contracts
+from silverbrook.catalog import QUERIES
 from silverbrook.operators import upsert
 from silverbrook.session import Settings, Thresholds, fresh_path, prepare, shared_dir
 from silverbrook.sources import tables
@@ -40,6 +41,24 @@ def test_null_in_composite_key_matches(spark):
     assert got == sorted([(1, None, "new"), (1, 2, "keep"), (None, None, "add")], key=str)
 
 
+def test_unique_sides_merge_as_they_are_laid_out(spark):
+    prepare(spark)
+    target = spark.createDataFrame([(1, None, "old"), (1, 2, "keep"), (None, None, "old"), (2, 2, "same"), (3, 1, None)], DDL)
+    source = spark.createDataFrame([(1, None, "new"), (None, None, "new"), (2, 2, "same"), (2, None, "add")], DDL)
+    sides = [upsert.unique_source(df.repartition(4, "k"), ["k", "j"]) for df in (target, source)]
+    got = upsert.merged(*sides, ["k", "j"], unique=True)
+    assert _sorted(got) == _sorted(upsert.merged(target, source, ["k", "j"])) and got.columns == target.columns
+    # Both sides stay where their first key has put them.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Exchange hashpartitioning(k" in plan
+
+
+def test_curated_loads_are_not_shuffled_to_be_merged(spark, sf_dir):
+    for name in ("j10_upsert_composite_key", "j11_upsert_curated"):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(coalesce" not in plan
+
+
 def test_duplicate_source_keys_can_be_rejected(spark):
     source = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], DDL)
     with pytest.raises(upsert.DuplicateSourceKeys):
