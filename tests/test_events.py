@@ -109,6 +109,20 @@ def test_streams_equal_batch_and_resume(spark, folder):
         assert got.select(*want.columns).exceptAll(want).count() == 0
 
 
+def test_streams_parse_messages_once(spark, folder, monkeypatch):
+    lake, source = replace(Settings(), lake_root=f"{folder}/lake"), f"{folder}/in"
+    parsed, decode = [], events.decode_json
+    monkeypatch.setattr(ingest.ev, "decode_json", lambda *a, **k: parsed.append(a) or decode(*a, **k))
+    spark.createDataFrame([], "key string, value string").write.parquet(source)
+    for ids in ((), ("B1",), ("B2", "B3")):
+        if ids:
+            _write(spark, source, *ids)
+        ingest.finish(ingest.start_bronze(events.read_event_files(spark, source), lake))
+    assert len(parsed) == 3  # once a run, for three tables and the rejects
+    sizes = {n: tables.read_table(spark, lake.table_path("bronze", n)).count() for n in (*ingest.BRONZE, "rejects")}
+    assert sizes == {"booking": 3, "cars": 6, "payments": 3, "rejects": 2}
+
+
 def test_single_pass_keeps_rejects(spark, folder):
     lake, source = replace(Settings(), lake_root=f"{folder}/lake"), f"{folder}/in"
     _write(spark, source, "B1", "B2")
