@@ -11,7 +11,7 @@ from silverbrook.catalog import streams
 from silverbrook.catalog.base import Frames
 from silverbrook.plans.silver import silver_booking, silver_customer
 from silverbrook.session import Settings
-from silverbrook.sources import events, tables
+from silverbrook.sources import bridge, events, tables
 from silverbrook.streaming import ingest
 
 from .conftest import values
@@ -89,6 +89,35 @@ def test_kafka_options():
     assert options["startingOffsets"] == "earliest"
 
 
+def test_lines_and_orders_meet_by_number(spark, folder):
+    rows = {
+        "orders": ([(1, 7), (1, 7), (None, 7), (2, None)], "o_orderkey long, o_custkey long"),
+        "lineitem": ([(1, 5), (3, 5), (None, 5), (1, None)], "l_orderkey long, l_partkey long"),
+        "customer": ([(7, 0)], "c_custkey long, c_nationkey int"),
+        "nation": ([(0, "N")], "n_nationkey int, n_name string"),
+        "part": ([(5, "SMALL", 1.0)], "p_partkey long, p_type string, p_retailprice double"),
+    }
+    more = {
+        "orders": {"o_orderdate": "timestamp'1999-01-02'"},
+        "lineitem": {
+            "l_suppkey": "1L", "l_linenumber": "1", "l_quantity": "2D", "l_extendedprice": "5D", "l_returnflag": "'A'"
+        },
+        "customer": {"c_name": "'a'", "c_mktsegment": "'b'", "c_acctbal": "1D"},
+    }
+    for name, (data, ddl) in rows.items():
+        added = {c: F.expr(e) for c, e in more.get(name, {}).items()}
+        spark.createDataFrame(data, ddl).withColumns(added).write.parquet(f"{folder}/{name}.parquet")
+    found = bridge.nested_events(spark, folder)
+    got = [(r.booking_id, r.booking_date, len(r.cars), len(r.payments)) for r in found.collect()]
+    day = "1999-01-02"
+    assert sorted(got, key=str) == sorted(
+        [("B1", day, 1, 1)] * 2 + [("B1", day, 0, 0)] * 2  # the line without a part has no car and no payment
+        + [("B3", None, 1, 1), (None, None, 1, 0), (None, day, 0, 0), ("B2", day, 0, 0)],
+        key=str,
+    )
+    assert "Join [booking_id" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 # -- streams ---------------------------------------------------------------------------------------------
 
 def _write(spark, path, *ids):
