@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-#: Distinct words, and distinct pieces, one generation of a Python worker's memory holds; two are kept.
-REMEMBERED = 350_000
+#: Distinct pieces, and distinct odd words, one generation of a Python worker's memory holds; two are kept.
+REMEMBERED, REMEMBERED_WORDS = 500_000, 200_000
+#: Characters of the texts, or a single longer text, whose distinct words are looked up together.
+TOGETHER = 2_000_000
 #: Words whose pieces are plain to see: Latin-1 without control characters, which NFC leaves as they are.
 _PLAIN = re.compile(r"[!-~\xa1-\xac\xae-\xff]+")
 #: The tokenizer's own pieces within such a word, once lower-cased (fixed by the tokenizer's file).
@@ -51,10 +55,11 @@ class WordEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The tokenizer drops white space and normalises to NFC, which never joins characters across it. So a text's ids
-    are the joined ids of its parts between spaces, tabs and line ends, and a distinct word goes to the tokenizer
-    once and is remembered. Pieces of plain words go straight to the tokenizer's model; any other word takes the whole
-    tokenizer, as do words with ``<|``: the file's added tokens (``<|startoftext|>``, ``<|endoftext|>``) hold no white
-    space and are ids of their own wherever their strings stand, glued to other text or not.
+    are the joined ids of its parts between spaces, tabs and line ends. Each distinct word of a group
+    of texts is looked up once, and what the tokenizer made of a piece or an odd word is remembered. Pieces of plain words go straight
+    to the tokenizer's model; any other word takes the whole tokenizer, as do words with ``<|``: the file's added
+    tokens (``<|startoftext|>``, ``<|endoftext|>``) hold no white space and are ids of their own wherever their
+    strings stand, glued to other text or not.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -66,7 +71,7 @@ class WordEncoder:
         self.letters = _byte_letters()
         size = self.tokenizer.get_vocab_size()
         self.packed = [number.tobytes() for number in np.arange(size, dtype="<u4")]
-        self.words = _Memory(self._word, REMEMBERED)
+        self.odd = _Memory(self._whole, REMEMBERED_WORDS)
         self.pieces = _Memory(self._piece, REMEMBERED)
 
     def _piece(self, piece: str) -> bytes:
@@ -75,22 +80,45 @@ class WordEncoder:
         return b"".join([self.packed[t.id] for t in self.tokenizer.model.tokenize(seen)])
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            return self.pieces[word.lower()]
+        if word.isascii():
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            # Letters and one mark at their end, as before a comma.
+            if word[:-1].isalpha() and word[-1] in string.punctuation:
+                return self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
         if _PLAIN.fullmatch(word) and "<|" not in word:
+            if word.isalpha():
+                return self.pieces[word.lower()]
             return b"".join(map(self.pieces.__getitem__, _PIECES.findall(word.lower())))
+        return self.odd[word]
+
+    def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, with the end id; a null text has the end id alone."""
-        end = np.uint32(END_ID).tobytes()
-        out, ids = [], self.words.__getitem__
+        out, held, size = [], [], 0
         for text in texts:
-            self.words.turn()
-            self.pieces.turn()
-            parts = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            out.append(b"".join(map(ids, parts)) + end)
-        return out
+            held.append((text or "").replace("\n", " ").replace("\t", " ").replace("\r", " "))
+            size += len(held[-1])
+            if size >= TOGETHER:
+                out += self._encoded(held)
+                held, size = [], 0
+        return out + self._encoded(held) if held else out
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        self.odd.turn()
+        self.pieces.turn()
+        end = np.uint32(END_ID).tobytes()
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = words.values.dictionary_encode()
+        ids = pa.array(map(self._word, coded.dictionary.to_pylist()), pa.large_binary())
+        # Taking each word's ids in the order of the words joins them in one buffer.
+        joined = ids.take(coded.indices)
+        _, places, data = joined.buffers()
+        bounds = np.frombuffer(places, dtype=np.int64)[words.offsets.to_numpy()].tolist()
+        data = memoryview(b"" if data is None else data)
+        return [b"".join((data[i:j], end)) for i, j in zip(bounds, bounds[1:], strict=False)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -144,6 +144,16 @@ def test_encoder_equals_the_tokenizer():
     assert [np.frombuffer(x, "<u4").tolist() for x in encode(some)] == brute.encoded(some)
 
 
+def test_a_call_encodes_a_distinct_word_once_however_little_is_remembered():
+    encode, made = tokens.WordEncoder(), []
+    for memory in [m for m in vars(encode).values() if isinstance(m, tokens._Memory)]:
+        memory.limit, make = 0, memory.make
+        memory.make = lambda key, make=make: made.append(key) or make(key)
+    some = ["red, Red", "green \u4e2d", None, "", " blue<|endoftext|>"] * 40
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(some)] == brute.encoded(some)
+    assert len(made) == len(set(made)) and encode([]) == []
+
+
 def test_token_files_in_small_shards(docs, odd, spark, folder):
     for at, frame in enumerate((docs, odd, odd.unionByName(odd))):
         whole = token_files.write_token_files(frame, f"{folder}/w{at}")
