@@ -55,10 +55,10 @@ class WordEncoder:
     """Ids of texts, equal to ``Tokenizer.encode(text, add_special_tokens=False)``.
 
     The tokenizer drops white space and normalises to NFC, which never joins characters across it. So a text's ids
-    are the joined ids of its parts between spaces, tabs and line ends. Each distinct word of a group
-    of texts is looked up once, and what the tokenizer made of a piece or an odd word is remembered. Pieces of plain words go straight
-    to the tokenizer's model; any other word takes the whole tokenizer, as do words with ``<|``: the file's added
-    tokens (``<|startoftext|>``, ``<|endoftext|>``) hold no white space and are ids of their own wherever their
+    are the joined ids of its parts between spaces, tabs and line ends. Each distinct word of a group of texts is
+    looked up once, and what the tokenizer made of a piece or an odd word is remembered. Pieces of plain words go
+    straight to the tokenizer's model; any other word takes the whole tokenizer, as do words with ``<|``: the file's
+    added tokens (``<|startoftext|>``, ``<|endoftext|>``) hold no white space and are ids of their own wherever their
     strings stand, glued to other text or not.
     """
 

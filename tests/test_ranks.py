@@ -14,6 +14,7 @@ import __spark_entry__ as entry
 from silverbrook.catalog.base import Frames
 from silverbrook.operators import hyperplanes, ranks, vectors
 from silverbrook.plans import marts, quality, sketches
+from silverbrook.plans.curated import curate
 from silverbrook.plans.scoring import features, forecast, grams
 
 from .conftest import values
@@ -62,6 +63,41 @@ def test_codes_by_broadcast_and_by_join(spark, monkeypatch, bound):
     assert {r.b_code for r in unseen.collect()} == {1}
 
 
+@pytest.mark.parametrize("hot_rows", [2_000_000, 3])
+def test_curated_codes_equal_the_codes_of_the_curated_table(spark, hot_rows):
+    """Repeated and missing keys, bookings without cars, payments or customers, cars of no booking, null values."""
+    ids = ["b1", "b1", "b2", "b3", "b4", None]
+    booking = spark.createDataFrame([(b, f"c{i % 3}" if i else None, f"t{i % 2}") for i, b in enumerate(ids)],
+                                    "booking_id string, customer_id string, trip_type string")
+    customer = spark.createDataFrame([("c0", "gold"), ("c1", None)], "customer_id string, loyalty_tier string")
+    cars = spark.createDataFrame(
+        [("b1", "k1", "Zen"), ("b1", "k2", None), ("b2", "k3", "Aa"), ("b2", "k3", "Aa"), ("x", "k4", "Mm"), (None, "k5", "Nn")],
+        "booking_id string, car_id string, model string",
+    )
+    payments = spark.createDataFrame(
+        [("b1", "p1", "upi"), ("b1", "p2", "cash"), ("b3", "p3", "Card"), ("b2", "p4", "upi"), ("b4", "p5", "upi"), ("y", "p6", "zz")],
+        "booking_id string, payment_id string, payment_method string",
+    )
+    names, keys = ["loyalty_tier", "payment_method", "model", "trip_type"], ["booking_id", "car_id", "payment_id"]
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=str)
+
+    for paid in (payments, payments.limit(0), payments.unionAll(booking.selectExpr("booking_id", "'p7'", "'upi'"))):
+        whole = curate(booking, customer, cars, paid)
+        expected = features.with_codes(whole, features.fit_codes(whole, names), names)
+        found = features.curated_codes(booking, customer, cars, paid, names, keys, hot_rows)
+        assert rows(found) == rows(expected.select(*keys, *[f"{n}_code" for n in names]))
+
+
+def test_catalog_codes_meet_no_value_after_the_bookings_fan_out(spark, sf_dir):
+    plan = _physical(entry.queries()["m04_category_codes"](spark, sf_dir))
+    texts = [line for line in plan.splitlines() if "Join" in line and "_value" in line]
+    # Each side's values are looked up before the two joins by booking, not in their result.
+    order = [line for line in plan.splitlines() if "Join" in line]
+    assert len(texts) == len(features.CATEGORIES) and "booking_id" in order[0] and "booking_id" in order[1]
+
+
 def test_codes_of_the_catalog_come_without_a_gather(spark, sf_dir):
     plan = _physical(entry.queries()["m04_category_codes"](spark, sf_dir))
     assert "StringIndexer" not in plan and "SinglePartition" not in plan and "Python" not in plan
