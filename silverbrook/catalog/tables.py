@@ -93,7 +93,9 @@ register("s07_create_or_upsert", _created_then_updated, "SELECT * FROM f_payment
 register(
     "s09_projected_read",
     lambda f: tables.read_table(
-        f.spark, _published(f, f.mart, "serving"), columns=["booking_date", "payment_amount", "booking_id", "model"]
+        f.spark,
+        _published(f, f.mart, "serving", plain=contracts.SERVING_PLAIN),
+        columns=["booking_date", "payment_amount", "booking_id", "model"],
     ),
     "SELECT booking_date, payment_amount, booking_id, model FROM f_serving",
 )

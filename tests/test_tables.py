@@ -1,7 +1,9 @@
 """Upserts, versioned tables, slices, contracts and settings."""
 
+import glob
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -84,6 +86,17 @@ def test_a_published_table_may_be_computed_from_itself(spark, folder):
     assert _sorted(tables.read_table(spark, path)) == [(1, 1, "a"), (2, 2, "b")]
 
 
+def test_published_ids_take_no_dictionary_and_keep_their_rows(spark, folder):
+    rows = [(f"B{i // 3}" if i % 7 else None, "gold" if i % 2 else "", i) for i in range(300)]
+    df = spark.createDataFrame(rows, "booking_id string, loyalty_tier string, n int").coalesce(1)
+    path = tables.publish(spark, df, f"{folder}/plain", plain=contracts.SERVING_PLAIN)
+    assert sorted(tables.read_table(spark, path).collect(), key=lambda r: r.n) == rows
+    (part,) = glob.glob(f"{path}/*.parquet")
+    chunks = pq.ParquetFile(part).metadata.row_group(0)
+    used = {chunks.column(i).path_in_schema: chunks.column(i).has_dictionary_page for i in range(chunks.num_columns)}
+    assert not used["booking_id"] and used["loyalty_tier"]
+
+
 def test_partitioned_table_prunes(spark, folder):
     path = f"{folder}/p"
     df = spark.createDataFrame([(y, m, "x") for y in (2023, 2024) for m in (1, 2)], "y int, m int, v string")
