@@ -322,6 +322,21 @@ def test_copies_and_shared_phrases_keep_their_text(spark):
     )
 
 
+@pytest.mark.parametrize("slice_tokens", [400_000, 60, 8])
+def test_whole_pages_are_searched_for_what_undecided_blocks_repeat(spark, monkeypatch, slice_tokens):
+    monkeypatch.setattr(html_text, "SLICE_TOKENS", slice_tokens)
+    menu, teaser = "front page world sport weather and all the rest", "the mayor opened a bridge over the old river"
+    own = {i: f"page{i} alone tells of thing{i} and of place{i}" for i in range(12)}
+    rows = [(i, "http://a.example/", f"<nav>{menu}</nav><article><p>{own[i]}<p>{teaser}</article>") for i in range(10)]
+    # Two pages of the host leave to the suffix array what the others name; each has a text of its own.
+    rows += [(10, "http://A.example/", f"<div>{menu}</div><div>{own[10]}</div>"), (11, "http://a.example/", f"<p>{teaser}<p>{own[11]}")]
+    rows += [(12, "http://b.example/", f"<div>{menu}</div><div>{teaser}</div>"), (13, "http://b.example/", f"<nav>{menu}</nav>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_text.extract_text(pages).collect()}
+    want = {i: f"{own[i]} {teaser}" for i in range(10)} | {10: own[10], 11: own[11], 12: f"{menu} {teaser}", 13: ""}
+    assert got == want
+
+
 # Operators 3 and 9: classifiers.
 
 
