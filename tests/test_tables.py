@@ -14,6 +14,7 @@ from silverbrook.catalog import QUERIES
 from silverbrook.operators import upsert
 from silverbrook.session import Settings, Thresholds, fresh_path, prepare, shared_dir
 from silverbrook.sources import tables
+from silverbrook.streaming import ingest
 
 from .conftest import values
 
@@ -279,3 +280,34 @@ def test_partitions_of_joins_by_hash_table_are_small(spark):
     conf = prepare(spark).conf
     sizes = {conf.get(f"spark.sql.adaptive.{name}") for name in ("maxShuffledHashJoinLocalMapThreshold", "advisoryPartitionSizeInBytes")}
     assert sizes == {"16MB"}
+
+
+def test_rows_meet_once_in_an_upsert_and_buckets_have_few_files(spark, folder):
+    path = f"{folder}/t"
+    rows = spark.range(4000).select((F.col("id") % 2000).alias("k"), F.col("id").cast("string").alias("v"))
+    for shift, want in ((0, "3999"), (1, "4000")):
+        loaded = rows.withColumn("v", (F.col("v").cast("long") + shift).cast("string")).repartition(8)
+        tables.upsert(spark, loaded, path, ["k"], buckets=8)
+        got = dict(values(tables.read_table(spark, path), "k", "v"))
+        assert len(got) == 2000 and got[1999] == want
+    # A partition of the shuffle by key holds rows of one bucket, so tasks do not each write to all of them.
+    partitions = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 8) * 8
+    assert len(tables.read_table(spark, path).inputFiles()) <= partitions
+    both = upsert.merged_newest(spark.read.parquet(path).drop("_bucket_of_8_by_k"), rows, ["k"])
+    assert both.count() == 2000
+    assert both._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    # A table whose buckets another hash has dealt would get its keys twice.
+    odd = spark.read.parquet(path).withColumn("_bucket_of_8_by_k", F.pmod(F.col("k"), F.lit(8)).cast("int"))
+    odd.write.partitionBy("_bucket_of_8_by_k").parquet(f"{folder}/odd")
+    with pytest.raises(ValueError, match="hash"):
+        tables.upsert(spark, rows, f"{folder}/odd", ["k"], buckets=8)
+
+
+def test_tables_and_messages_are_packed(spark, folder):
+    rows = spark.range(3).select(F.col("id").alias("k"))
+    tables.publish(spark, rows, f"{folder}/p")
+    tables.upsert(spark, rows, f"{folder}/u", ["k"])
+    ingest._write_slice(rows, f"{folder}/s", "r", 0)
+    for name in ("p", "u", "s/run=r/batch=0"):
+        files = spark.read.parquet(f"{folder}/{name}").inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
