@@ -236,3 +236,28 @@ def test_message_files_become_more_with_the_messages(spark, sf_dir, monkeypatch)
     assert streams._more_files(Frames(spark, sf_dir)) == 1
     monkeypatch.setattr(streams, "FILE_MESSAGES", 1000)
     assert streams._more_files(Frames(spark, sf_dir)) >= 6
+
+
+def test_batches_all_new_or_all_known_shuffle_no_texts(spark):
+    named = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y")], "_id string, value string")
+    known = {n: spark.createDataFrame([(i,) for i in ids], "_id string") for n, ids in (("new", "c"), ("mixed", "ac"), ("old", "abc"))}
+    got = {n: ingest.unknown_messages(named, k) for n, k in known.items()}
+    assert {n: sorted(values(d, "_id")) for n, d in got.items()} == {
+        "new": [("a",), ("a",), ("b",)], "mixed": [("b",)], "old": []
+    }
+    plans = {n: d._jdf.queryExecution().executedPlan().toString() for n, d in got.items()}
+    assert "Join" in plans["mixed"] and "Join" not in plans["new"] + plans["old"]
+
+
+def test_messages_of_bounded_streams_lie_in_several_packed_files(spark, sf_dir, monkeypatch):
+    seen = []
+    real = events.read_event_files
+
+    def read(session, path, **options):
+        seen.append(session.read.parquet(path).inputFiles())
+        return real(session, path, **options)
+
+    monkeypatch.setattr(events, "read_event_files", read)
+    assert entry.QUERIES["t03_stream_payment_counts"](spark, sf_dir).count() > 0
+    halves = len(seen[0]), len(seen[1]) - len(seen[0])
+    assert min(halves) >= 4 and all(f.endswith(".zstd.parquet") for f in seen[1])
